@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, packing
+from . import media, mixing, packing, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,10 +23,19 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op5_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.audio(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_harmonic_packing, op5_mpeg_audio)}
+def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.schedule(docs).select("row.doc_id", "source", "block", "release", "due", "slot", "at", "weight")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_harmonic_packing, op4_html_wrappers, op5_mpeg_audio, op7_pfair_mixing)}
 
 SQL: dict[str, str] = {}
