@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import media, mixing, packing, wrappers
+from . import language, media, mixing, packing, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,17 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def fold_of(folds: int) -> Column:
+    """crc32 of doc_id as text, modulo folds; a null doc_id is in none."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def op2_language_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.learn(docs, fold_of(4) != 2))
+    return found.select("doc_id", F.coalesce(fold_of(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(_table(spark, sf_dir, "pages"))
 
@@ -36,6 +48,6 @@ def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(docs).select("row.doc_id", "source", "block", "release", "due", "slot", "at", "weight")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_harmonic_packing, op4_html_wrappers, op5_mpeg_audio, op7_pfair_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_harmonic_packing, op2_language_compression, op4_html_wrappers, op5_mpeg_audio, op7_pfair_mixing)}
 
 SQL: dict[str, str] = {}
