@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, media, mixing, packing, wrappers
+from . import jaccard, language, media, mixing, packing, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,29 @@ def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(docs).select("row.doc_id", "source", "block", "release", "due", "slot", "at", "weight")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_harmonic_packing, op2_language_compression, op4_html_wrappers, op5_mpeg_audio, op7_pfair_mixing)}
-
-SQL: dict[str, str] = {}
+def op10_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_harmonic_packing, op2_language_compression, op4_html_wrappers, op5_mpeg_audio, op7_pfair_mixing, op10_jaccard_rtree)}
+
+SQL: dict[str, str] = {
+    "op10_jaccard_rtree": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' '))) END AS s
+  FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles FROM sets),
+e AS (SELECT doc_id, unnest(s) AS g FROM sets),
+k AS (SELECT *, count(*) OVER (PARTITION BY g) AS df FROM e),
+co AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM k a JOIN k b ON a.g = b.g AND a.doc_id < b.doc_id WHERE a.df > 1 AND b.df > 1 GROUP BY 1, 2),
+link AS (SELECT x, y FROM co JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n_shingles + q.n_shingles - c)),
+edge AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach AS (SELECT x, y FROM edge UNION SELECT r.x, e.y FROM reach r JOIN edge e ON r.y = e.x)
+SELECT n.doc_id, n.n_shingles, least(n.doc_id, coalesce(min(r.y), n.doc_id)) AS component_id
+FROM n LEFT JOIN reach r ON r.x = n.doc_id GROUP BY n.doc_id, n.n_shingles
+""",
+}
