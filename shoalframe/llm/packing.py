@@ -28,7 +28,7 @@ CAPACITY = 4096
 #: Tokens of a slot that may stay empty before a remainder is cut once more.
 SLACK = 16
 #: Words that a worker remembers.
-CACHE = 400_000
+CACHE = 800_000
 
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Above this, case folding and white space follow the tokenizer library itself.
