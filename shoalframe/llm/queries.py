@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, media, mixing, packing, wrappers
+from . import jaccard, language, media, mixing, packing, substrings, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,13 +48,32 @@ def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(docs).select("row.doc_id", "source", "block", "release", "due", "slot", "at", "weight")
 
 
+def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(_table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_harmonic_packing, op2_language_compression, op4_html_wrappers, op5_mpeg_audio, op7_pfair_mixing, op10_jaccard_rtree)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_harmonic_packing, op2_language_compression, op4_html_wrappers, op5_mpeg_audio, op7_pfair_mixing, op9_recompression, op10_jaccard_rtree)}
 
 SQL: dict[str, str] = {
+    "op9_recompression": r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(words[i:i+12], ' ') AS g
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w WHERE len(words) >= 13)),
+doomed AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY g) AS first FROM win) WHERE doc_id > first),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM doomed)),
+word AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w WHERE len(words) > 0),
+kept AS (
+  SELECT word.doc_id, count(gone.p) AS removed, string_agg(word, ' ' ORDER BY word.p) FILTER (WHERE gone.p IS NULL) AS text
+  FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.p = word.p GROUP BY word.doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+""",
     "op10_jaccard_rtree": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
