@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, media, mixing, packing, substrings, wrappers
+from . import embeddings, jaccard, language, media, mixing, packing, substrings, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(docs).select("row.doc_id", "source", "block", "release", "due", "slot", "at", "weight")
 
 
+def op8_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicate(_table(spark, sf_dir, "documents"))
 
@@ -56,9 +60,23 @@ def op10_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_harmonic_packing, op2_language_compression, op4_html_wrappers, op5_mpeg_audio, op7_pfair_mixing, op9_recompression, op10_jaccard_rtree)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_harmonic_packing, op2_language_compression, op4_html_wrappers, op5_mpeg_audio, op7_pfair_mixing, op8_epsilon_grid, op9_recompression, op10_jaccard_rtree)}
 
 SQL: dict[str, str] = {
+    "op8_epsilon_grid": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= CAST(0.98 AS DOUBLE)),
+reach AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+n AS (SELECT x, count(*) AS n FROM link GROUP BY x),
+c AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(c.y, vec_id)) AS component_id, least(vec_id, coalesce(c.y, vec_id)) = vec_id AS kept
+FROM embeddings LEFT JOIN n ON n.x = vec_id LEFT JOIN c ON c.x = vec_id
+""",
     "op9_recompression": r"""
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
