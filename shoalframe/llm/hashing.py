@@ -16,6 +16,8 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: Everything in ASCII that is no letter as a space.
+LETTERS = np.array([c if chr(c).isalpha() or c > 127 else 10 if c == 10 else 32 for c in range(256)], np.uint8)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -54,15 +56,18 @@ class Words:
     """The words `[^\\x20\\x09-\\x0D]+` of some texts.
 
     names[s]: each word's 64-bit name in stream s; counts: words of each text; first: index of each text's first
-    word; start, end: byte places of each word in data, the texts joined by line feeds.
+    word; start, end: byte places of each word in data, the texts joined by line feeds. lower: A-Z as a-z; letters:
+    what is no letter in ASCII separates words as well.
     """
 
-    def __init__(self, texts: list[str | None], lower: bool = False, streams: int = 1):
+    def __init__(self, texts: list[str | None], lower: bool = False, streams: int = 1, letters: bool = False):
         raw = [(t or "").encode("utf-8", "replace") for t in texts]
         self.data = b"\n".join(raw) + b"\n"
         buf = np.frombuffer(self.data, np.uint8)
         if lower:
             buf = LOWER[buf]
+        if letters:
+            buf = LETTERS[buf]
         space = SPACE[buf]
         edge = np.flatnonzero(np.diff(space, prepend=True))
         self.start, self.end = edge[::2], edge[1::2]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, jaccard, language, media, mixing, packing, substrings, wrappers
+from . import embeddings, jaccard, language, media, mixing, packing, quality, substrings, toxicity, wrappers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,13 @@ def op2_language_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(fold_of(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    columns = ["source", "lang", "n_chars"]
+    found = quality.scores(docs, quality.learn(docs, labels, fold_of(5) != 0, columns), columns)
+    return found.select("doc_id", F.coalesce(fold_of(5) == 0, F.lit(False)).alias("held_out"), "score_content", "score_metadata", "score", "predicted")
+
+
 def op4_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(_table(spark, sf_dir, "pages"))
 
@@ -43,6 +50,12 @@ def op5_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.audio(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = toxicity.scores(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels"), fold_of(5) != 0))
+    return found.select("doc_id", F.coalesce(fold_of(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.schedule(docs).select("row.doc_id", "source", "block", "release", "due", "slot", "at", "weight")
@@ -60,7 +73,7 @@ def op10_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_harmonic_packing, op2_language_compression, op4_html_wrappers, op5_mpeg_audio, op7_pfair_mixing, op8_epsilon_grid, op9_recompression, op10_jaccard_rtree)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_harmonic_packing, op2_language_compression, op3_co_training, op4_html_wrappers, op5_mpeg_audio, op6_toxicity_bigru, op7_pfair_mixing, op8_epsilon_grid, op9_recompression, op10_jaccard_rtree)}
 
 SQL: dict[str, str] = {
     "op8_epsilon_grid": """
