@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import exchange
-from .components import Forest, components, local
+from .components import Forest, components
 from .hashing import Words, portions, runs
 from .storage import materialise
 
@@ -206,38 +206,44 @@ def join_blocks(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int,
     return out
 
 
+def chained(tokens: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """A spanning forest (a, b) of the ids that share a token; both sorted by token, then id."""
+    same = np.flatnonzero((tokens[1:] == tokens[:-1]) & (ids[1:] != ids[:-1]))
+    forest, out = Forest(), []
+    for a, b in np.unique(np.stack([ids[same], ids[same + 1]], 1), axis=0).tolist():
+        if forest.join(a, b):
+            out.append((a, b))
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
 def links(classes: DataFrame) -> DataFrame:
     """Edges (a, b) that connect the classes (id, n, tokens) as all links between them would."""
     spark = classes.sparkSession
     parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Packed (token, id), one id for each token of a batch; the others are chained to it here."""
         for batch in batches:
-            names, ids = [], []
-            for i, n, raw in zip(batch["id"], batch["n"], batch["tokens"], strict=True):
-                t = np.frombuffer(raw, np.int64)
-                t = t[: max(0, len(t) + (-PERCENT * n // 100) + 1)]
-                names.append(t)
-                ids.append(np.full(len(t), i, np.int64))
-            yield pd.DataFrame({"token": np.concatenate(names), "id": np.concatenate(ids)} if names else {"token": [], "id": []}, dtype="int64")
+            found = [(i, np.frombuffer(raw, np.uint64)) for i, raw in zip(batch["id"], batch["tokens"], strict=True)]
+            found = [(i, t[: max(0, len(t) + (-PERCENT * n // 100) + 1)]) for (i, t), n in zip(found, batch["n"], strict=True)]
+            tokens = np.concatenate([np.zeros(0, np.uint64), *[t for _, t in found]])
+            ids = np.repeat(np.array([i for i, _ in found], np.int64), [len(t) for _, t in found])
+            order = np.lexsort((ids, tokens))
+            tokens, ids = tokens[order], ids[order]
+            edges = chained(tokens, ids)
+            head = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
+            rows = list(exchange.send(np.zeros(1, np.int64), np.zeros(len(head), np.int32), tokens[head], spread, ids[head]))
+            yield exchange.frame(rows).assign(edges=[edges.tobytes() if not i else b"" for i in range(len(rows))])
 
     def chain(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        order = np.lexsort((group["id"], group["token"]))
-        t, i = group["token"].to_numpy()[order], group["id"].to_numpy()[order]
-        same = np.flatnonzero((t[1:] == t[:-1]) & (i[1:] != i[:-1]))
-        forest = Forest()
-        for a, b in set(zip(i[same].tolist(), i[same + 1].tolist(), strict=True)):
-            forest.join(a, b)
-        pairs = [(x, forest.root(x)) for x in list(forest.up)]
-        return pd.DataFrame([p for p in pairs if p[0] != p[1]], columns=["a", "b"], dtype="int64")
-
-    rare = classes.mapInPandas(prefixes, "token long, id long")
-    # a token that very many classes share is salted: chains within a salt, and between the salts by their least ids
-    heads = rare.groupBy("token").agg(F.min("id").alias("id"))
-    salted = rare.withColumn("part", F.pmod(F.xxhash64("token", F.pmod("id", F.lit(SALTS))), F.lit(parts)))
-    near = salted.groupBy("part").applyInPandas(chain, "a long, b long")
-    across = rare.groupBy("token", F.pmod("id", F.lit(SALTS)).alias("salt")).agg(F.min("id").alias("b")).join(heads, "token").filter("id <> b").select(F.col("id").alias("a"), "b")
-    family = components(near.union(across)).withColumnRenamed("component", "family")
+        _, _, tokens, ids = exchange.unpack_all(group["blob"].tolist(), "i8", "u8", "i8")
+        order = np.lexsort((ids, tokens))
+        edges = np.concatenate([chained(tokens[order], ids[order]), *[np.frombuffer(e, np.int64).reshape(-1, 2) for e in group["edges"]]])
+        return pd.DataFrame(edges, columns=["a", "b"])
+
+    spread = exchange.ranges(exchange.RANGE * parts)
+    rare = classes.mapInPandas(prefixes, "part int, blob binary, edges binary")
+    family = components(rare.groupBy("part").applyInPandas(chain, "a long, b long")).withColumnRenamed("component", "family")
     family = materialise(family, "families")
     items = classes.join(family, "id")
 
