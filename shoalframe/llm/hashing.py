@@ -35,6 +35,10 @@ def _bytes(stream: int) -> np.ndarray:
     return out
 
 
+#: Bytes that are hashed at once.
+_STEP = 1 << 19
+
+
 @lru_cache(4)
 def _powers(stream: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the stream's multiplier and of its inverse modulo 2**64."""
@@ -49,7 +53,7 @@ def _powers(stream: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _power(stream: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(stream, max(1 << 20, 1 << (n - 1).bit_length()))
+    return _powers(stream, 2 * _STEP) if n <= 2 * _STEP else _powers.__wrapped__(stream, n)
 
 
 class Words:
@@ -75,15 +79,15 @@ class Words:
         stops = np.cumsum(sizes)
         self.first = np.searchsorted(self.start, np.concatenate([[0], stops[:-1]])) if len(raw) else np.zeros(0, np.int64)
         self.counts = np.diff(self.first, append=len(self.start))
-        self.names = []
-        for s in range(streams):
-            if not len(self.start):
-                self.names.append(np.zeros(0, np.uint64))
-                continue
-            up, down = _power(s, len(buf))
-            with np.errstate(over="ignore"):
-                sums = np.add.reduceat(_bytes(s)[buf] * up[: len(buf)], self.start)
-                self.names.append(mix(sums * down[self.start]))
+        self.names = [np.empty(len(self.start), np.uint64) for _ in range(streams)]
+        blocks = np.unique(np.append(np.searchsorted(self.start, np.arange(0, len(buf), _STEP)), len(self.start)))
+        for a, b in zip(blocks[:-1].tolist(), blocks[1:].tolist(), strict=True):
+            at = self.start[a:b] - self.start[a]
+            part = buf[self.start[a] : self.start[b] if b < len(self.start) else len(buf)]
+            for s in range(streams):
+                up, down = _power(s, len(part))
+                with np.errstate(over="ignore"):
+                    self.names[s][a:b] = mix(np.add.reduceat(_bytes(s)[part] * up[: len(part)], at) * down[at])
 
     def __len__(self) -> int:
         return len(self.counts)

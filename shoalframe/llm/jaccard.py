@@ -32,7 +32,7 @@ GROUPS = 32
 #: Points of a block, and of a leaf of its tree.
 BLOCK, LEAF, FANOUT = 512, 8, 8
 SALTS = 8
-PORTION = 8 << 20
+PORTION = 4 << 20
 
 
 def shingles(texts: list[str | None], size: int = WORDS) -> list[np.ndarray]:

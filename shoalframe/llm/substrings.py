@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +31,7 @@ from .storage import materialise
 WINDOW = 13
 ROUNDS = 2
 #: Bytes of text of a portion.
-PORTION = 6 << 20
+PORTION = 3 << 20
 _FAR = 1 << 40
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5, 0xF1357AEA2E62A9C5))
 
@@ -130,7 +131,7 @@ class Portion:
         ids = rows["doc_id"].to_pandas().astype("Int64")
         self.null = ids.isna().to_numpy()
         self.ids = ids.fillna(0).to_numpy(np.int64)
-        self.doc = np.repeat(np.arange(len(w)), w.counts)
+        self.doc = np.repeat(np.arange(len(w), dtype=np.int32), w.counts)
         start = np.arange(len(self.doc))
         self.starts = start[(w.first + w.counts)[self.doc] - start >= WINDOW] if len(start) else start
         if len(self.starts):
@@ -167,7 +168,7 @@ def portions(docs: DataFrame) -> DataFrame:
             return row
 
         for batch in batches:
-            lengths = np.cumsum(batch["text"].cast(pa.large_binary()).fill_null(b"").to_pandas().str.len().to_numpy(np.int64) + 64) if batch.num_rows else np.zeros(0, np.int64)
+            lengths = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
             at = 0
             while at < batch.num_rows:
                 room = PORTION - size + (lengths[at - 1] if at else 0)
