@@ -20,7 +20,7 @@ BLOCK_CHARS = 100_000
 ROUND = 256
 #: Without given weights, a source's weight is its share of all characters to this power.
 TEMPERATURE = 0.5
-#: Pieces that a source is split into for its running sums.
+#: Pieces that a source is split into for its running sums, at least.
 BUCKETS = 64
 
 
@@ -72,16 +72,23 @@ def plan(sources: DataFrame) -> DataFrame:
     return s.join(mine, "i").select("source", "n_blocks", "slots", "shapes")
 
 
-def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS, round_slots: int = ROUND, temperature: float = TEMPERATURE) -> DataFrame:
-    """Every row of docs as the struct `row`, with source, block, release, due, slot, at, and weight.
+def schedule(
+    docs: DataFrame, weights: dict[str, float] | None = None, block_chars: int = BLOCK_CHARS, round_slots: int = ROUND, temperature: float = TEMPERATURE, columns: list[str] | None = None
+) -> DataFrame:
+    """Every row of docs as the struct `row` (of `columns`, all by default), with source, block, release, due, slot, at, and weight.
 
     Rows in order of (slot, at) are the mixture. All rows are kept: a null source is a source of its own, null or
     empty texts have no characters and go with the block they fall into, repeated rows each have their place, ties
     are broken by the rows' hash, then doc_id. A source missing from `weights` gets the smallest given weight. An empty table gives no rows.
     """
-    size = F.coalesce(F.length("row.text"), F.lit(0)).cast("long")
-    rows = docs.select(F.struct("*").alias("row")).withColumn("src", F.coalesce(F.concat(F.lit("="), F.col("row.source")), F.lit("")))
-    rows = rows.withColumn("hash", F.xxhash64("row.doc_id", "row.text")).withColumn("bucket", F.pmod("hash", F.lit(BUCKETS)).cast("int")).withColumn("size", size)
+    buckets = max(BUCKETS, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = docs.select(
+        F.struct(*(columns or ["*"])).alias("row"),
+        F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("src"),
+        F.xxhash64("doc_id", "text").alias("hash"),
+        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("size"),
+        F.col("doc_id").alias("id"),
+    ).withColumn("bucket", F.pmod("hash", F.lit(buckets)).cast("int"))
     sums = materialise(rows.groupBy("src", "bucket").agg(F.sum("size").alias("chars")), "mixing-sums")
     before = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("base", F.coalesce(F.sum("chars").over(before), F.lit(0).cast("long")))
@@ -96,9 +103,9 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_cha
     known = materialise(plan(per.select(F.col("src").alias("source"), "n_blocks", "slots")), "mixing-plan")
     known = known.withColumn("weight", F.col("slots") / F.sum("slots").over(Window.partitionBy(F.lit(0))))
     own = sums.select("src", "bucket", "base").join(known.withColumnRenamed("source", "src"), "src")
-    # n sources times BUCKETS rows; the key splits a source that has most of the rows
+    # a row per source and bucket; the key splits a source that has most of the rows
     placed = rows.join(own, ["src", "bucket"])
-    within = Window.partitionBy("src", "bucket").orderBy("hash", "row.doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("src", "bucket").orderBy("hash", "id").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("base") + F.coalesce(F.sum("size").over(within), F.lit(0).cast("long"))
     placed = placed.withColumn("start", start)
     last = F.col("n_blocks") - 1

@@ -57,8 +57,7 @@ def op6_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.schedule(docs).select("row.doc_id", "source", "block", "release", "due", "slot", "at", "weight")
+    return mixing.schedule(_table(spark, sf_dir, "documents"), columns=["doc_id"]).select("row.doc_id", "source", "block", "release", "due", "slot", "at", "weight")
 
 
 def op8_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:

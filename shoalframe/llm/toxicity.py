@@ -23,6 +23,8 @@ WINDOW, STRIDE = 32, 24
 #: Hash buckets of words and of character runs, lengths of the runs in bytes, and the network's widths.
 NAMES, GRAMS, SIZES, WORD, CHAR, HIDDEN, ATTEND = 1 << 16, 1 << 16, (5, 7), 8, 6, 8, 8
 EPOCHS, BATCH = 3, 48
+#: Few documents are gone over more often, to so many steps.
+STEPS = 150
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -171,7 +173,7 @@ class Network:
         return out
 
 
-def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Network:
+def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
     """With one class only, a network that gives every text that class' rate."""
     net, y, r = Network(seed), np.array(labels, float), np.random.default_rng(seed)
     net.base = 0.0
@@ -190,7 +192,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
         net.p[k][:, 0] = np.where(n.sum(0) >= 4, np.clip(odds, -4, 4) / 4, 0)
     m, v = {k: np.zeros_like(x) for k, x in net.p.items()}, {k: np.zeros_like(x) for k, x in net.p.items()}
     step = 0
-    for _ in range(epochs):
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(texts)))):
         order = r.permutation(len(texts))
         for i in range(0, len(order), BATCH):
             pick = order[i : i + BATCH]
