@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import exchange
 from .components import Forest, components
-from .hashing import Words, portions, runs
+from .hashing import Words, mix, portions, runs
 from .storage import materialise
 
 WORDS = 5
@@ -68,70 +68,90 @@ def sets(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n_shingles long, cls binary")
 
 
+def _indexes(n: int) -> str:
+    return "u2" if n <= 1 << 16 else "u4"
+
+
 def _shared(docs: DataFrame, total: int) -> DataFrame:
-    """cls, n, tokens (packed, the rarest first) of the classes of which enough shingles are in other classes too."""
-    parts = exchange.ranges(total)
+    """cls, n, tokens (packed, the rarest first), c (their counts by group) of the classes of which enough shingles are in others too.
+
+    A shingle travels as the top 40 bits and more of its name, as many more as there are ranges, and with its class' number
+    in its portion. A class that several portions have may come out several times, alike.
+    """
+    parts = min(exchange.ranges(total), 1 << 23)
+    bits = parts.bit_length() - 1
 
     def out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        portion = TaskContext.get().partitionId() << 32
         for batch in batches:
             for _, texts in portions(batch["text"], PORTION):
                 found: dict[bytes, np.ndarray] = {}
-                for _, part in portions(texts, 2 << 20):
+                for _, part in portions(texts, 1 << 20):
                     for s in shingles(part):
                         if len(s):
                             found.setdefault(class_of(s), s)
-                if found:
-                    owners = np.array([(k, len(s)) for k, s in found.items()], "S16,u8").view("V24")
-                    index = np.repeat(np.arange(len(found), dtype=np.int32), [len(s) for s in found.values()])
-                    yield exchange.frame(list(exchange.send(owners, index, np.concatenate(list(found.values())), parts)))
+                if not found:
+                    continue
+                sizes = [len(s) for s in found.values()]
+                manifest = b"".join(found) + np.array(sizes, np.int64).tobytes()
+                index = np.repeat(np.arange(len(found), dtype=_indexes(len(found))), sizes)
+                tokens = np.concatenate(list(found.values())) >> np.uint64(24 - bits)
+                to = (tokens >> np.uint64(40)).astype(np.uint32)
+                order = np.argsort(to.astype(np.uint16) if bits <= 16 else to, kind="stable")
+                to, index = to[order], index[order]
+                low = tokens[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+                edge = np.flatnonzero(np.diff(to.astype(np.int64), prepend=-1))
+                ends = np.append(edge[1:], len(to))
+                rows = [(int(to[i]), portion, index.dtype.str[1:], index[i:j].tobytes(), low[i:j].tobytes(), None) for i, j in zip(edge, ends, strict=True)]
+                rows[0] = (*rows[0][:5], manifest)
+                yield pd.DataFrame(rows, columns=["part", "portion", "kind", "idx", "low", "manifest"])
+                portion += 1
 
     def meet(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        index, owners, names = exchange.unpack_all(group["blob"].tolist(), "V24", "u8")
-        owners, same = np.unique(owners.view("S24"), return_inverse=True)  # a class may come from many portions
-        index = same[index].astype(np.int32)
-        order = np.lexsort((index, names))
-        names, index = names[order], index[order]
-        keep = np.concatenate([[True], (names[1:] != names[:-1]) | (index[1:] != index[:-1])])
-        names, index = names[keep], index[keep]
-        edge = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
-        often = np.repeat(np.diff(edge, append=len(names)), np.diff(edge, append=len(names)))
-        keep = often > 1
-        names, index, often = names[keep], index[keep], np.minimum(often[keep], 1 << 31).astype(np.uint32)
-        order = np.argsort(index, kind="stable")
-        names, index, often = names[order], index[order], often[order]
-        raw = np.array([o.ljust(24, b"\0") for o in owners.tolist()], "S24").view("V24")
-        # on to the task that gathers the class: by the first bytes of its hash
-        first = np.frombuffer(raw.tobytes(), ">u8")[::3]
-        to = (first[index] >> np.uint64(64 - parts.bit_length() + 1)).astype(np.int64)
-        rows = []
-        order = np.argsort(to, kind="stable")
-        to, index, names, often = to[order], index[order], names[order], often[order]
-        cut = np.searchsorted(to, np.arange(parts + 1))
-        for p in np.flatnonzero(np.diff(cut)):
-            a, b = cut[p], cut[p + 1]
-            own = index[a:b]
-            at = np.flatnonzero(np.diff(own, prepend=-1))
-            rows.append((int(p), exchange.pack(raw[own[at]], np.diff(at, append=b - a), names[a:b], often[a:b])))
-        return exchange.frame(rows)
+        tokens = np.zeros((sum(map(len, group["low"])) // 5, 8), np.uint8)
+        tokens[:, :5] = np.frombuffer(b"".join(group["low"]), np.uint8).reshape(-1, 5)
+        tokens = tokens.view("<u8").ravel()
+        order = np.argsort(tokens)
+        ordered = tokens[order]
+        edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        n = np.diff(edge, append=len(ordered))
+        often = np.empty(len(tokens), np.uint16)
+        often[order] = np.repeat(np.minimum(n, 65535), n)  # only orders the tokens, and is cut alike for all of them
+        rows, at = [], 0
+        for r in group.itertuples():
+            m = len(r.low) // 5
+            keep = often[at : at + m] > 1
+            rows.append((r.portion, r.part, r.kind, np.frombuffer(r.idx, r.kind)[keep].tobytes(), np.frombuffer(r.low, np.uint8).reshape(-1, 5)[keep].tobytes(), often[at : at + m][keep].tobytes(), r.manifest))
+            at += m
+        rows = [r for r in rows if r[3] or r[6]]
+        return pd.DataFrame(rows, columns=["portion", "part", "kind", "idx", "low", "often", "manifest"])
 
     def gather(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        index, owners, names, often = exchange.unpack_all(group["blob"].tolist(), "V24", "u8", "u4")
-        owners, same = np.unique(owners.view("S24"), return_inverse=True)
-        index = same[index]
-        order = np.lexsort((names, often, index))
-        index, names = index[order], names[order]
-        cut = np.searchsorted(index, np.arange(len(owners) + 1))
+        manifest = next(m for m in group["manifest"] if m)
+        size = len(manifest) // 24
+        whole = np.frombuffer(manifest, np.int64, size, 16 * size)
+        index = np.concatenate([np.frombuffer(r.idx, r.kind) for r in group.itertuples()]).astype(np.int64)
+        often = np.concatenate([np.frombuffer(r, np.uint16) for r in group["often"]])
+        tokens = np.zeros((len(index), 8), np.uint8)
+        tokens[:, :5] = np.frombuffer(b"".join(group["low"]), np.uint8).reshape(-1, 5)
+        tokens = tokens.view("<u8").ravel() | (np.repeat(group["part"].to_numpy(np.uint64), [len(x) // 5 for x in group["low"]]) << np.uint64(40))
+        enough = 100 * np.bincount(index, minlength=size) >= PERCENT * whole
+        keep = enough[index]
+        index, often, tokens = index[keep], often[keep], tokens[keep]
+        order = np.lexsort((tokens, often, index))
+        index, tokens = index[order], tokens[order]
+        cut = np.searchsorted(index, np.arange(size + 1))
         rows = []
-        for i, o in enumerate(owners.tolist()):
-            o = o.ljust(24, b"\0")
-            n, tokens = int.from_bytes(o[16:], "little"), names[cut[i] : cut[i + 1]]
-            if 100 * len(tokens) >= PERCENT * n:
-                rows.append((o[:16], n, tokens.tobytes()))
-        return pd.DataFrame(rows, columns=["cls", "n", "tokens"])
+        for i in np.flatnonzero(enough).tolist():
+            t = tokens[cut[i] : cut[i + 1]]
+            rows.append((manifest[16 * i : 16 * i + 16], int(whole[i]), t.tobytes(), counts(t).tolist()))
+        return pd.DataFrame(rows, columns=["cls", "n", "tokens", "c"])
 
-    sent = docs.select("text").mapInPandas(out, "part int, blob binary")
-    met = sent.groupBy("part").applyInPandas(meet, "part int, blob binary")
-    return met.groupBy("part").applyInPandas(gather, "cls binary, n long, tokens binary")
+    sent = docs.select("text").mapInPandas(out, "part int, portion long, kind string, idx binary, low binary, manifest binary")
+    met = sent.groupBy("part").applyInPandas(meet, "portion long, part int, kind string, idx binary, low binary, often binary, manifest binary")
+    return met.groupBy("portion").applyInPandas(gather, "cls binary, n long, tokens binary, c array<int>")
 
 
 def counts(tokens: np.ndarray) -> np.ndarray:
@@ -217,14 +237,14 @@ def chained(tokens: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def links(classes: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect the classes (id, n, tokens) as all links between them would."""
+    """Edges (a, b) that connect the classes (id, n, tokens, c) as all links between them would."""
     spark = classes.sparkSession
     parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Packed (token, id), one id for each token of a batch; the others are chained to it here."""
         for batch in batches:
-            found = [(i, np.frombuffer(raw, np.uint64)) for i, raw in zip(batch["id"], batch["tokens"], strict=True)]
+            found = [(i, mix(np.frombuffer(raw, np.uint64))) for i, raw in zip(batch["id"], batch["tokens"], strict=True)]
             found = [(i, t[: max(0, len(t) + (-PERCENT * n // 100) + 1)]) for (i, t), n in zip(found, batch["n"], strict=True)]
             tokens = np.concatenate([np.zeros(0, np.uint64), *[t for _, t in found]])
             ids = np.repeat(np.array([i for i, _ in found], np.int64), [len(t) for _, t in found])
@@ -245,15 +265,9 @@ def links(classes: DataFrame) -> DataFrame:
     rare = classes.mapInPandas(prefixes, "part int, blob binary, edges binary")
     family = components(rare.groupBy("part").applyInPandas(chain, "a long, b long")).withColumnRenamed("component", "family")
     family = materialise(family, "families")
-    items = classes.join(family, "id")
 
     # blocks in the order of the index: by size, which bounds the overlap most, then by the leading counts
-    def points(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            c = [counts(np.frombuffer(t, np.uint64)).tolist() for t in batch["tokens"]]
-            yield pd.DataFrame({"family": batch["family"], "id": batch["id"], "n": batch["n"], "c": c})
-
-    place = items.mapInPandas(points, "family long, id long, n long, c array<int>")
+    place = classes.select("id", "n", "c").join(family, "id")
     place = place.withColumn("k", F.row_number().over(Window.partitionBy("family").orderBy("n", "c", "id")) - 1)
     place = materialise(place.withColumn("block", F.expr(f"k div {BLOCK}")).drop("k"), "points")
     boxes = place.groupBy("family", "block").agg(F.min("n").alias("small"), F.max("n").alias("large"), F.array(*[F.max(F.col("c")[g]) for g in range(GROUPS)]).alias("top"))
@@ -263,8 +277,8 @@ def links(classes: DataFrame) -> DataFrame:
     pairs = x.join(y, (F.col("x.family") == F.col("y.family")) & (F.col("x.block") <= F.col("y.block")) & may)
     pairs = pairs.select(F.col("x.family").alias("family"), F.col("x.block").alias("i"), F.col("y.block").alias("j"))
     sides = pairs.select("family", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    members = items.join(place.select("id", "block"), "id")
-    sent = members.join(sides, ["family", "block"]).withColumn("task", F.pmod(F.xxhash64("family", "i", "j"), F.lit(16 * parts)))
+    wanted = place.select("id", "family", "block").join(sides, ["family", "block"])
+    sent = classes.select("id", "n", "tokens").join(wanted, "id").withColumn("task", F.pmod(F.xxhash64("family", "i", "j"), F.lit(16 * parts)))
 
     def verify(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -288,7 +302,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     dups = own.filter("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("most"), F.first("n_shingles").alias("n"))
     classes = materialise(dups, "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
-    shared = _shared(docs.filter("doc_id is not null"), total).join(classes.select("cls", "id"), "cls").select("id", "n", "tokens")
+    shared = _shared(docs.filter("doc_id is not null"), total).dropDuplicates(["cls"]).join(classes.select("cls", "id"), "cls").select("id", "n", "tokens", "c")
     edges = links(materialise(shared, "candidates"))
     linked = components(edges)
     final = classes.join(linked, "id", "left").select("cls", F.coalesce("component", "id").alias("component_id"), (F.col("id") < F.col("most")).alias("copied"), "id")
