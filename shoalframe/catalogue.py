@@ -286,9 +286,9 @@ def archive_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", *[c.alias(n) for n, c in made.items()], names.archive_name(station, haul).alias("archive"))
 
 
-@query("SELECT page_id, regexp_replace(split_part(url, '/', -1), '\\.[^.]*$', '') || '.polytaxo.zip' AS output, regexp_replace(url, '(\\.[^./]*)?$', '_mask\\1') AS mask FROM pages")
+@query("SELECT page_id, regexp_replace(split_part(url, '/', -1), '\\.[^.]*$', '') || '.labels.zip' AS output, regexp_replace(url, '(\\.[^./]*)?$', '_mask\\1') AS mask FROM pages")
 def output_stem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", names.output_name(F.col("url"), ".polytaxo.zip").alias("output"), names.file_suffix(F.col("url"), "_mask").alias("mask"))
+    return table(spark, sf_dir, "pages").select("page_id", names.output_name(F.col("url"), ".labels.zip").alias("output"), names.file_suffix(F.col("url"), "_mask").alias("mask"))
 
 
 @query(

@@ -42,11 +42,15 @@ def overlay(table: DataFrame, layers: list[dict[str, Column]]) -> DataFrame:
     return table.withColumns(merged)
 
 
+def _not_in(keys: Column) -> Callable[[Column, Column], Column]:
+    return lambda k, _: ~F.map_contains_key(keys, k)
+
+
 def overlay_maps(*maps: Column) -> Column:
     """The same for map columns: a key's last value counts, nulls included."""
     out = maps[0]
     for m in maps[1:]:
-        out = F.map_concat(F.map_filter(out, lambda k, _, m=m: ~F.map_contains_key(m, k)), m)
+        out = F.map_concat(F.map_filter(out, _not_in(m)), m)
     return out
 
 

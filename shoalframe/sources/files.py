@@ -178,7 +178,7 @@ def sample_metadata(listing: DataFrame) -> DataFrame:
         meta = {m[1].strip(): m[2].strip() for m in re.finditer(r"(?m)^([\w ]+?)\s*[:=]\s*(.*)$", bytes(log.iloc[0]).decode("latin-1"))}
         for text in group[group["k"] == 1]["content"]:
             meta |= {k: None if v is None else str(v) for k, v in (yaml.safe_load(bytes(text)) or {}).items()}
-        return pd.DataFrame({"root": [key[0]], "meta": [list(meta.items())]})
+        return pd.DataFrame({"root": [key[0]], "meta": [meta]})
 
     return logs.union(metas).groupBy("root").applyInPandas(run, "root string, meta map<string,string>")
 
@@ -212,7 +212,7 @@ def read_archives(spark: SparkSession, pattern: str, ignore: list[str] = ()) ->
                             table = table.iloc[1:]
                         for r in table.to_dict("records"):
                             file = r.get("img_file_name")
-                            rows.append((path, r.get("object_id"), list(r.items()), z.read(file) if file in inside else None))
+                            rows.append((path, r.get("object_id"), r, z.read(file) if file in inside else None))
                 yield pd.DataFrame(rows, columns=["archive", "object_id", "meta", "image"])
 
     listing = files(spark, pattern, ignore).filter(F.col("path").endswith(".zip")).select("path", "content")
