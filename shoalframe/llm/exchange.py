@@ -20,8 +20,14 @@ def ranges(names: int) -> int:
     return 1 << max(4, (max(1, names) // RANGE).bit_length())
 
 
+def planes(ids: np.ndarray) -> np.ndarray:
+    """64-bit numbers by byte planes, of which the high ones are mostly zero and compress away."""
+    return np.ascontiguousarray(ids.astype("<i8").view(np.uint8).reshape(-1, 8).T)
+
+
 def pack(owners: np.ndarray, counts: np.ndarray, *columns: np.ndarray) -> bytes:
-    """owners: fixed-width items; counts: uint32 of each; columns: arrays of sum(counts) items each."""
+    """owners: fixed-width items; counts: uint32 of each; columns: arrays of sum(counts) items each; signed 64-bit ones go by planes."""
+    columns = tuple(planes(c) if c.dtype == np.int64 else c for c in columns)
     return b"".join([np.array([len(owners)], np.int64).tobytes(), owners.tobytes(), counts.astype(np.uint32).tobytes(), *[c.tobytes() for c in columns]])
 
 
@@ -34,7 +40,10 @@ def unpack(blob: bytes, owner: str, *kinds: str) -> list[np.ndarray]:
     at += counts.nbytes
     out, total = [owners, counts], int(counts.sum(dtype=np.int64))
     for kind in kinds:
-        out.append(np.frombuffer(blob, kind, total, at))
+        if kind == "i8":
+            out.append(np.ascontiguousarray(np.frombuffer(blob, np.uint8, 8 * total, at).reshape(8, total).T).view("<i8").ravel())
+        else:
+            out.append(np.frombuffer(blob, kind, total, at))
         at += out[-1].nbytes
     return out
 

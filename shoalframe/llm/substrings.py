@@ -8,7 +8,7 @@ hangs on words outside. Each symbol knows the words its parse hangs on (its cont
 
 A window's anchor is a symbol of the highest level whose context lies in the window (of those, the smallest name), so equal
 windows have equal anchors. Anchors are exchanged once; windows whose anchor another portion has as well are then verified: their own
-128-bit names are exchanged, and the portions learn which windows start in a document with a smaller id.
+96-bit names are exchanged, and the portions learn which windows start in a document with a smaller id.
 """
 
 from __future__ import annotations
@@ -230,7 +230,7 @@ def deduplicate(docs: DataFrame, keep: bool = False) -> DataFrame:
             p = Portion(_read(blob), streams=2)
             anchor = p.anchors()
             hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, anchor), len(known) - 1)] == anchor)
-            one, two, ids = p.windows(0)[hit], p.windows(1)[hit], p.ids[p.of[hit]]
+            one, two, ids = p.windows(0)[hit], (p.windows(1)[hit] >> np.uint64(32)).astype("u4"), p.ids[p.of[hit]]
             order = np.lexsort((ids, two, one))
             one, two, ids = one[order], two[order], ids[order]
             first = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])) if len(one) else np.zeros(0, np.int64)
@@ -239,7 +239,7 @@ def deduplicate(docs: DataFrame, keep: bool = False) -> DataFrame:
         return exchange.frame(rows)
 
     def least(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        index, owners, one, two, ids = exchange.unpack_all(group["blob"].tolist(), "i8", "u8", "u8", "i8")
+        index, owners, one, two, ids = exchange.unpack_all(group["blob"].tolist(), "i8", "u8", "u4", "i8")
         order = np.lexsort((ids, two, one))
         one, two, ids, index = one[order], two[order], ids[order], index[order]
         first = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
