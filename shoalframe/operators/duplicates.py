@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,23 +33,57 @@ class Matcher:
         self.min_similarity, self.max_age = min_similarity, max_age
         self.known: dict[str, tuple[tuple, int]] = {}
 
-    def frame(self, ids: list, boxes: np.ndarray) -> list:
+    def frame(self, ids: list, boxes: np.ndarray | list) -> list:
         """The first-seen id of each object: matched to the known ones by the largest total similarity, which counts
         only where it reaches the minimum (inclusive). A match passes on its box."""
         out = list(ids)
-        if self.known and len(ids):
+        boxes = boxes.tolist() if isinstance(boxes, np.ndarray) else boxes
+        if self.known and out:
             old = list(self.known)
-            similar = iou(np.array([self.known[k][0] for k in old], float), boxes.astype(float))
-            for i, j in assign(similar):
-                if similar[i, j] >= self.min_similarity:
+            before = [v[0] for v in self.known.values()]
+            for i, j, s in _pairs(before, boxes) if self.min_similarity > 0 else _all_pairs(before, boxes):
+                if s >= self.min_similarity:
                     out[j] = old[i]
-        aged = {k: (box, age + 1) for k, (box, age) in self.known.items()}
-        self.known = {k: v for k, v in aged.items() if v[1] <= self.max_age}
-        for k, box in zip(out, boxes.tolist(), strict=True):
-            self.known[k] = (tuple(box), 0)
+        known = {k: (box, age + 1) for k, (box, age) in self.known.items() if age < self.max_age}
+        for k, box in zip(out, boxes, strict=True):
+            known.pop(k, None)
+            known[k] = (tuple(box), 0)
+        self.known = known
         return out
 
 
+def _all_pairs(a: list, b: list) -> list[tuple[int, int, float]]:
+    m = iou(np.array(a, float), np.array(b, float))
+    return [(i, j, m[i, j]) for i, j in assign(m)]
+
+
+def _pairs(a: list, b: list) -> list[tuple[int, int, float]]:
+    """The assignment's pairs with any overlap. Boxes that overlap nothing else are paired without a solver."""
+    if len(a) * len(b) > 2500:
+        m = iou(np.array(a, float), np.array(b, float))
+        found = [(int(i), int(j), m[i, j]) for i, j in zip(*np.nonzero(m), strict=True)]
+    else:
+        found = []
+        for i, (ax, ay, aw, ah) in enumerate(a):
+            for j, (bx, by, bw, bh) in enumerate(b):
+                w = min(ax + aw, bx + bw) - max(ax, bx)
+                if w > 0:
+                    h = min(ay + ah, by + bh) - max(ay, by)
+                    if h > 0:
+                        found.append((i, j, w * h / (aw * ah + bw * bh - w * h)))
+    rows, cols = Counter(f[0] for f in found), Counter(f[1] for f in found)
+    out = [f for f in found if rows[f[0]] == 1 and cols[f[1]] == 1]
+    rest = [f for f in found if not (rows[f[0]] == 1 and cols[f[1]] == 1)]
+    if rest:
+        i, j = sorted({f[0] for f in rest}), sorted({f[1] for f in rest})
+        at_i, at_j = {k: n for n, k in enumerate(i)}, {k: n for n, k in enumerate(j)}
+        m = np.zeros((len(i), len(j)))
+        for x, y, s in rest:
+            m[at_i[x], at_j[y]] = s
+        out += [(i[x], j[y], m[x, y]) for x, y in assign(m)]
+    return out
+
+
 BOX = ["object_posx", "object_posy", "object_width", "object_height"]
 
 
@@ -71,13 +106,13 @@ def detect(
         def finish(part: pd.DataFrame) -> pd.DataFrame:
             """All rows of part; its frames are complete."""
             nonlocal now, matcher
-            out = np.empty(len(part), object)
-            edges = np.flatnonzero((part["_s"].ne(part["_s"].shift()) | part[frame].ne(part[frame].shift())).to_numpy())
+            out: list = []
+            samples, ids, boxes = part["_s"].tolist(), part["object_id"].tolist(), part[BOX].to_numpy().tolist()
+            edges = np.flatnonzero((part["_s"].ne(part["_s"].shift()) | part[frame].ne(part[frame].shift())).to_numpy()).tolist()
             for a, b in zip(edges, [*edges[1:], len(part)], strict=True):
-                s = part["_s"].iloc[a]
-                if matcher is None or s != now:
-                    now, matcher = s, Matcher(min_similarity, max_age)
-                out[a:b] = matcher.frame(part["object_id"].iloc[a:b].tolist(), part[BOX].iloc[a:b].to_numpy())
+                if matcher is None or samples[a] != now:
+                    now, matcher = samples[a], Matcher(min_similarity, max_age)
+                out += matcher.frame(ids[a:b], boxes[a:b])
             return part.drop(columns="_s").assign(**{column: out})
 
         for batch in batches:
