@@ -199,6 +199,14 @@ class PredictTask(Section):
     log_interval: str = "60s"
 
 
+def one_of(settings: dict[str, Any], *keys: str) -> str:
+    """The one key of `keys` that is set; none or several: ValueError."""
+    found = [k for k in keys if settings.get(k) not in (None, False)]
+    if len(found) != 1:
+        raise ValueError(f"exactly one of {', '.join(keys)} is needed, not {len(found)}")
+    return found[0]
+
+
 TASKS: dict[str, type[Section]] = {"segment": SegmentTask, "predict": PredictTask}
 
 

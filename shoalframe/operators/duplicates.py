@@ -141,6 +141,32 @@ def remove(objects: DataFrame, sample: str | None, frame: str, settings: dict |
     return keep_first(detect(objects, sample, frame, **options)).drop("dupset_id")
 
 
+def confirm(detected: DataFrame, images: DataFrame, pixels: str, width: int, min_score: float = 0.5, column: str = "dupset_id") -> DataFrame:
+    """detected with `score`, the agreement of each duplicate's image features with those of its set's first member (1 for
+    that itself); duplicates under min_score get their own id back. A cheap box match comes first, features only for its pairs."""
+
+    def score(a: pd.Series, b: pd.Series) -> pd.Series:
+        from ..functions.features import keypoints, similarity
+
+        return pd.Series([similarity(keypoints(np.asarray(x).reshape(-1, width)), keypoints(np.asarray(y).reshape(-1, width))) for x, y in zip(a, b, strict=True)], dtype=float)
+
+    score.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
+    pairs = detected.filter(F.col(column) != F.col("object_id")).select("object_id", column)
+    own = images.select("object_id", F.col(pixels).alias("_a"))
+    first = images.select(F.col("object_id").alias(column), F.col(pixels).alias("_b"))
+    scored = pairs.join(own, "object_id").join(first, column).select("object_id", F.pandas_udf(score, "double")("_a", "_b").alias("score"))
+    out = detected.join(scored, "object_id", "left")
+    single = F.col(column) == F.col("object_id")
+    return out.withColumn("score", F.when(single, F.lit(1.0)).otherwise(F.col("score"))).withColumn(column, F.when(single | (F.col("score") >= min_score), F.col(column)).otherwise(F.col("object_id")))
+
+
+def set_images(detected: DataFrame, images: DataFrame, column: str = "dupset_id", singles: bool = False) -> DataFrame:
+    """dupset_id, object_id, leads and the image's columns of every member of a set: what to look at."""
+    size = detected.groupBy(column).agg(F.count("*").alias("members"))
+    rows = detected.select("object_id", column).join(size if singles else size.filter("members > 1"), column)
+    return rows.withColumn("leads", F.col(column) == F.col("object_id")).join(images, "object_id")
+
+
 def duplicate_sets(detected: DataFrame, column: str = "dupset_id", singles: bool = False) -> DataFrame:
     """Each set with its members, the first one leading."""
     out = detected.groupBy(column).agg(F.sort_array(F.collect_list("object_id")).alias("members"))

@@ -253,6 +253,25 @@ def build_archives(table: DataFrame, archive: str, image: str | None = None, fil
     return table.groupBy(archive).applyInPandas(run, "name string, content binary")
 
 
+def debug_images(frames: DataFrame, key: str, pixels: str, width: int, labels: str | None = None, scores: str | None = None) -> DataFrame:
+    """name, content: each frame as PNG, with its labels over it and its scores as grey levels if given."""
+    from ..functions.drawing import overlay
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_dict("records"):
+                image = np.asarray(r[pixels]).reshape(-1, width).astype(np.uint8)
+                rows.append((f"{r[key]}.png", encode_png(image)))
+                if labels:
+                    rows.append((f"{r[key]}_overlay.png", encode_png(overlay(image, np.asarray(r[labels]).reshape(image.shape)))))
+                if scores:
+                    rows.append((f"{r[key]}_score.png", encode_png(np.rint(255 * np.clip(np.asarray(r[scores], float), 0, 1)).astype(np.uint8).reshape(image.shape))))
+            yield pd.DataFrame(rows, columns=["name", "content"])
+
+    return frames.select(key, pixels, *[c for c in (labels, scores) if c]).mapInPandas(run, "name string, content binary")
+
+
 def save_files(built: DataFrame, target: str) -> None:
     """Writes (name, content) rows into a folder that executors share, through Hadoop's file systems."""
     spark = built.sparkSession
