@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from . import exchange
 from .components import Forest, components
 from .hashing import Words, mix, portions, runs
-from .storage import materialise
+from .storage import long_rows, materialise, trim
 
 WORDS = 5
 #: Links need 100 * intersection >= PERCENT * union.
@@ -63,6 +63,7 @@ def sets(docs: DataFrame) -> DataFrame:
                 for s in shingles(part):
                     n.append(len(s))
                     cls.append(class_of(s) if len(s) else None)
+            trim()
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_shingles": n, "cls": cls})
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n_shingles long, cls binary")
@@ -106,8 +107,11 @@ def _shared(docs: DataFrame, total: int) -> DataFrame:
                 ends = np.append(edge[1:], len(to))
                 rows = [(int(to[i]), portion, index.dtype.str[1:], index[i:j].tobytes(), low[i:j].tobytes(), None) for i, j in zip(edge, ends, strict=True)]
                 rows[0] = (*rows[0][:5], manifest)
+                del index, tokens, to, order, low
                 yield pd.DataFrame(rows, columns=["part", "portion", "kind", "idx", "low", "manifest"])
                 portion += 1
+                del found, rows
+                trim()
 
     def meet(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         tokens = np.zeros((sum(map(len, group["low"])) // 5, 8), np.uint8)
@@ -126,6 +130,8 @@ def _shared(docs: DataFrame, total: int) -> DataFrame:
             rows.append((r.portion, r.part, r.kind, np.frombuffer(r.idx, r.kind)[keep].tobytes(), np.frombuffer(r.low, np.uint8).reshape(-1, 5)[keep].tobytes(), often[at : at + m][keep].tobytes(), r.manifest))
             at += m
         rows = [r for r in rows if r[3] or r[6]]
+        del tokens, order, ordered, often
+        trim()
         return pd.DataFrame(rows, columns=["portion", "part", "kind", "idx", "low", "often", "manifest"])
 
     def gather(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
@@ -298,6 +304,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     be unique; rows that repeat one are each returned. A row with a null doc_id has a null component_id and takes no
     part in others' components. Other columns are ignored; an empty table gives no rows.
     """
+    docs = long_rows(docs)
     own = materialise(sets(docs), "sets")
     dups = own.filter("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("most"), F.first("n_shingles").alias("n"))
     classes = materialise(dups, "classes")

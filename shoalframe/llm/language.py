@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .storage import long_rows
+
 #: The bounded sample that the dictionaries are made of: texts of each language, bytes of each text, bytes of a dictionary.
 TEXTS, PASSAGE, DICTIONARY = 64, 1500, 32768
 BLOCK = 1024
@@ -88,7 +90,7 @@ def identify(docs: DataFrame, passages: dict[str, bytes]) -> DataFrame:
             found = [model.classify(t) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "lang_pred": [f[0] for f in found], "score": [f[1] for f in found], "rejected": [f[2] for f in found]})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, lang_pred string, score double, rejected boolean")
+    return long_rows(docs).select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
 def accepted(docs: DataFrame, passages: dict[str, bytes]) -> DataFrame:
@@ -99,4 +101,4 @@ def accepted(docs: DataFrame, passages: dict[str, bytes]) -> DataFrame:
         for texts in batches:
             yield pd.Series([not model.classify(t)[2] for t in texts], dtype=bool)
 
-    return docs.filter(F.pandas_udf(run, "boolean")(F.col("text")))
+    return long_rows(docs).filter(F.pandas_udf(run, "boolean")(F.col("text")))

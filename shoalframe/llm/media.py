@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import long_rows
+
 # Fixed values of the format: kbit/s by (version 1 or not, layer), sample rates by version, side information bytes.
 _KBPS = {
     (1, 1): (0, 32, 64, 96, 128, 160, 192, 224, 256, 288, 320, 352, 384, 416, 448),
@@ -236,4 +238,4 @@ def audio(docs: DataFrame) -> DataFrame:
                 )
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, SCHEMA)
+    return long_rows(docs).select(F.col("doc_id").cast("long"), "text").mapInPandas(run, SCHEMA)

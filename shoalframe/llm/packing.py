@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import materialise
+from .storage import long_rows, materialise, trim
 
 CAPACITY = 4096
 #: Tokens of a slot that may stay empty before a remainder is cut once more.
@@ -137,8 +137,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int
                     rows.append((i, start, size, zlib.crc32(raw[4 * start : 4 * (start + size)]), n, capacity // size))
                     start += size
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "k"]).astype({"doc_id": "Int64"})
+        del tok
+        trim()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k long")
+    return long_rows(docs).select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k long")
 
 
 def _tail(pdf: pd.DataFrame, capacity: int) -> pd.DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import mix, portions
+from .storage import long_rows
 
 #: Rows of the bounded sample: labelled, and unlabelled.
 LABELLED, POOL = 5000, 5000
@@ -164,4 +165,4 @@ def scores(docs: DataFrame, model: CoTrained, columns: list[str]) -> DataFrame:
             s = shared.value.scores([content(batch["text"].tolist()), metadata(batch, columns)])
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score_content": s[0], "score_metadata": s[1], "score": s[2], "predicted": (s[2] >= 0.5).astype("int32")})
 
-    return docs.select(F.col("doc_id").cast("long"), "text", *columns).mapInPandas(run, "doc_id long, score_content double, score_metadata double, score double, predicted int")
+    return long_rows(docs).select(F.col("doc_id").cast("long"), "text", *columns).mapInPandas(run, "doc_id long, score_content double, score_metadata double, score double, predicted int")

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of texts that travel to Python at once, at most.
+BATCH = 1000
+
 _written: list[tuple[object, str]] = []
 
 
@@ -20,6 +24,27 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def long_rows(table: DataFrame) -> DataFrame:
+    """table, in a session that sends at most BATCH rows to Python at once: texts and pages are long, so that Spark's 10,000 would
+    take hundreds of megabytes in each worker. The setting is only ever lowered."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(table.sparkSession.conf.get(key))
+    if not 0 < now <= BATCH:
+        table.sparkSession.conf.set(key, str(BATCH))
+    return table
+
+
+def trim() -> None:
+    """Gives freed memory of this Python worker back to the system; workers outlive their tasks."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        return
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet in the shared folder and read again, so that a lost executor costs a reread, not a recomputation."""
     spark = df.sparkSession

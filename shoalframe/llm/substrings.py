@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from . import exchange
 from .hashing import Words, mix, runs
-from .storage import materialise
+from .storage import long_rows, materialise, trim
 
 WINDOW = 13
 ROUNDS = 2
@@ -192,6 +192,7 @@ def deduplicate(docs: DataFrame, keep: bool = False) -> DataFrame:
     stay null). A row with a null doc_id loses nothing and removes nothing; rows with equal doc_ids don't remove from each other. Documents of
     fewer than 13 words lose nothing. An empty table gives no rows.
     """
+    docs = long_rows(docs)
     schema = docs.schema
     narrow = docs if keep else docs.select(F.col("doc_id").cast("long"), "text")
     columns = narrow.schema
@@ -204,6 +205,8 @@ def deduplicate(docs: DataFrame, keep: bool = False) -> DataFrame:
             for portion, blob in zip(batch["portion"], batch["blob"], strict=True):
                 found = np.unique(Portion(_read(blob)).anchors())
                 yield exchange.frame(list(exchange.send(np.array([portion], np.int64), np.zeros(len(found), np.int32), found, parts)))
+                del found
+                trim()
 
     def meet(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         index, owners, names = exchange.unpack_all(group["blob"].tolist(), "i8", "u8")
@@ -236,6 +239,8 @@ def deduplicate(docs: DataFrame, keep: bool = False) -> DataFrame:
             first = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])) if len(one) else np.zeros(0, np.int64)
             one, two, ids = one[first], two[first], ids[first]
             rows += exchange.send(np.array([portion], np.int64), np.zeros(len(one), np.int32), one, parts, two, ids)
+            del p, anchor, hit, one, two, ids, order, first
+        trim()
         return exchange.frame(rows)
 
     def least(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
@@ -264,6 +269,7 @@ def deduplicate(docs: DataFrame, keep: bool = False) -> DataFrame:
             names = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x, np.uint64) for x in right["names"].to_pylist()]])
             low = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(x, np.int64) for x in right["ids"].to_pylist()]])
             tables.append(_stripped(rows, names, low, keep))
+        trim()
         return pa.concat_tables(tables) if tables else _stripped(_empty(columns), np.zeros(0, np.uint64), np.zeros(0, np.int64), keep)
 
     result = schema if keep else "doc_id long, n_words long, n_removed long, kept_sha256 string"

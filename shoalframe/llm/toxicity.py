@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .hashing import Words, mix, portions
+from .storage import long_rows
 
 #: Documents of each class that the network is trained on, and characters of each that take part in training.
 DOCS, CHARS = 2000, 12_000
@@ -258,4 +259,4 @@ def scores(docs: DataFrame, net: Network) -> DataFrame:
             s = net.score(batch["text"].tolist())
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": s, "predicted": (s >= 0.5).astype("int32")})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, score double, predicted int")
+    return long_rows(docs).select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, score double, predicted int")
