@@ -95,7 +95,8 @@ def merge_annotations(objects: DataFrame, annotations: DataFrame, min_overlap: f
     keep = [c for c in objects.columns if c not in copied]
     pairs = objects.select(*keep, geometry.box().alias("_o")).join(a, "object_frame_id", "left")
     pairs = pairs.withColumn("_iou", geometry.overlap("_a", "_o")["overlap_xy"])
-    w = Window.partitionBy(id_column).orderBy(F.col("_iou").desc_nulls_last(), F.col("_src"))
+    # an object is in one frame, so this window keeps the join's partitioning
+    w = Window.partitionBy("object_frame_id", id_column).orderBy(F.col("_iou").desc_nulls_last(), F.col("_src"))
     top = pairs.withColumn("_k", F.row_number().over(w)).filter("_k = 1")
     has, hit = F.col("_src").isNotNull(), F.col("_iou") > min_overlap
     outdated = (F.col("_iou") < min_validated_overlap) & F.col("_copy.object_annotation_status").isin(*REVIEWED)
