@@ -31,7 +31,7 @@ from .storage import long_rows, materialise, trim
 WINDOW = 13
 ROUNDS = 2
 #: Bytes of text of a portion.
-PORTION = 3 << 20
+PORTION = 2 << 20
 _FAR = 1 << 40
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5, 0xF1357AEA2E62A9C5))
 

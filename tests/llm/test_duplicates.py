@@ -110,7 +110,7 @@ def brute_substrings(rows):
     return out
 
 
-@pytest.mark.parametrize("portion", [600, 3 << 20])
+@pytest.mark.parametrize("portion", [600, 2 << 20])
 def test_substrings_against_plain_windows(docs, rows, monkeypatch, portion):
     monkeypatch.setattr(substrings, "PORTION", portion)
     want = brute_substrings([(r[0], r[1]) for r in rows])
