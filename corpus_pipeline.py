@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoalframe.llm import jaccard, language, mixing, packing, queries, substrings
-from shoalframe.llm.storage import materialise
+from shoalframe.llm.storage import materialise, numbered
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +34,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 4096 ids, placed in sequences."""
-    return packing.pack(docs, queries.tokenizer_path())
+    """Pieces of at most 4096 ids, placed in sequences; sequences in order of their ids are the mixture, which is the written order of docs."""
+    return packing.pack(numbered(docs, "in_mixture"), queries.tokenizer_path(), number="in_mixture")
 
 
 STAGES = [("language", identify), ("near_duplicates", one_of_each), ("substrings", cut_repeats), ("mixing", mix), ("packing", pack)]

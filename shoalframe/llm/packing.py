@@ -5,6 +5,9 @@ bin of class k holds exactly k pieces. Every piece gets its rank in its class fr
 each bucket fills its own run of bins without looking at any other. What is left of a class (fewer than k
 pieces, a bounded number over all classes) is packed first-fit-decreasing in one bounded group.
 
+Given the rows' numbers in a mixture, a bucket is a stretch of the mixture, so that ranks follow it, and a
+sequence is called by the number of its first piece: sequences in order of their ids are the mixture.
+
 Cutting keeps the padding small: while a remainder fills its class' slot badly, a piece that fills a
 slot of the next class exactly is cut off.
 """
@@ -123,29 +126,36 @@ def cuts(n: int, capacity: int = CAPACITY, slack: int = SLACK) -> list[int]:
     return out
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece of every whole document, with the class it belongs to."""
+def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = CAPACITY, number: str | None = None) -> DataFrame:
+    """One row per piece of every whole document, with the class it belongs to and, if given, its document's number."""
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k long"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tok = WordTokenizer(tokenizer_path)
         for batch in batches:
-            rows = []
-            for i, ids in zip(batch["doc_id"], tok.encode(batch["text"].tolist()), strict=True):
+            rows, numbers = [], []
+            own = batch["number"] if number else [None] * len(batch)
+            for i, at, ids in zip(batch["doc_id"], own, tok.encode(batch["text"].tolist()), strict=True):
                 n, start = len(ids) + 1, 0
                 raw = ids.tobytes() + end_id.to_bytes(4, "little")
                 for size in cuts(n, capacity):
                     rows.append((i, start, size, zlib.crc32(raw[4 * start : 4 * (start + size)]), n, capacity // size))
                     start += size
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "k"]).astype({"doc_id": "Int64"})
+                    numbers.append(at)
+            out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "k"]).astype({"doc_id": "Int64"})
+            yield out.assign(number=numbers) if number else out
         del tok
         trim()
 
-    return long_rows(docs).select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, k long")
+    columns = [F.col("doc_id").cast("long"), F.col("text"), *([F.col(number).cast("long").alias("number")] if number else [])]
+    return long_rows(docs).select(*columns).mapInPandas(run, schema + (", number long" if number else ""))
 
 
 def _tail(pdf: pd.DataFrame, capacity: int) -> pd.DataFrame:
     """First-fit decreasing over the classes' last pieces."""
-    pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], ignore_index=True)
+    numbered = "piece" in pdf
+    order = ["piece"] if numbered else ["doc_id", "start", "ids_crc32"]
+    pdf = pdf.sort_values(["length", *order], ascending=[False, *[True] * len(order)], ignore_index=True)
     room, bins, offsets = np.zeros(0, np.int64), [], []
     for size in pdf["length"]:
         fits = np.flatnonzero(room >= size)
@@ -156,21 +166,29 @@ def _tail(pdf: pd.DataFrame, capacity: int) -> pd.DataFrame:
         bins.append((1 << 60) + int(b))
         offsets.append(capacity - int(room[b]))
         room[b] -= size
-    return pdf.assign(sequence_id=bins, offset=offsets).drop(columns="k").astype({"doc_id": "Int64"})
+    if numbered:
+        bins = pdf["piece"].groupby(np.array(bins)).transform("min")
+    return pdf.assign(sequence_id=bins, offset=offsets).drop(columns=["k", *order[: int(numbered)]]).astype({"doc_id": "Int64"})
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = CAPACITY, number: str | None = None) -> DataFrame:
     """Packs every document (doc_id, text) into sequences of at most `capacity` ids.
 
     Null or empty text: one piece with the end id alone. Null doc_ids and repeated rows are packed like any
-    other row, once per row. An empty table gives no rows. Other columns are ignored.
+    other row, once per row. An empty table gives no rows. Other columns are ignored. `number` names a column
+    of distinct numbers from 0 on: sequences, and the pieces within each class, then follow it.
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
     """
     spark = docs.sparkSession
     cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    cut = materialise(pieces(docs, tokenizer_path, end_id, capacity), "pieces")
+    cut = materialise(pieces(docs, tokenizer_path, end_id, capacity, number), "pieces")
     buckets = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets)))
+    if number:
+        rows = (cut.agg(F.max("number")).first()[0] or 0) + 1
+        cut, keys = cut.withColumn("bucket", F.expr(f"number * {buckets} div {rows}")), ["number", "start"]
+    else:
+        keys = ["doc_id", "start", "ids_crc32"]
+        cut = cut.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
     # At most `capacity` classes times `buckets` rows, whatever the number of documents.
     counts = cut.groupBy("k", "bucket").agg(F.count("*").alias("n"))
     base = counts.select(
@@ -179,15 +197,24 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
         (F.sum("n").over(Window.partitionBy("k").orderBy("bucket")) - F.col("n")).alias("base"),
         F.sum("n").over(Window.partitionBy("k")).alias("of_class"),
     )
-    order = Window.partitionBy("k", "bucket").orderBy("doc_id", "start", "ids_crc32")
-    ranked = cut.join(F.broadcast(base), ["k", "bucket"]).withColumn("rank", F.col("base") + F.row_number().over(order) - 1)
+    if number:
+        per = counts.groupBy("bucket").agg(F.sum("n").alias("n"))
+        first = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("bucket")) - F.col("n")  # a row per bucket
+        base = base.join(per.select("bucket", first.alias("first")), "bucket")
+    ranked = cut.join(F.broadcast(base), ["k", "bucket"])
+    if number:
+        ranked = ranked.withColumn("piece", F.col("first") + F.row_number().over(Window.partitionBy("bucket").orderBy(*keys)) - 1)
+    order = Window.partitionBy("k", "bucket").orderBy(*keys)
+    ranked = ranked.withColumn("rank", F.col("base") + F.row_number().over(order) - 1)
     whole = F.col("rank") < F.expr("of_class - of_class % k")
     full = ranked.filter(whole).withColumn("sequence_id", F.expr("shiftleft(k, 44) + rank div k"))
-    inside = Window.partitionBy("sequence_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    full = full.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0).cast("long")))
+    inside = Window.partitionBy("sequence_id").orderBy("rank")
+    full = full.withColumn("offset", F.coalesce(F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
+    if number:
+        full = full.withColumn("sequence_id", F.first("piece").over(inside))
     rest = (
         ranked.filter(~whole)
-        .select(*cols[:5], "k", F.lit(0).alias("one"))
+        .select(*cols[:5], "k", *(["piece"] if number else []), F.lit(0).alias("one"))
         .groupBy("one")
         .applyInPandas(lambda pdf: _tail(pdf.drop(columns="one"), capacity), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     )

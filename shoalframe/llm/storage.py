@@ -7,7 +7,9 @@ import ctypes
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: Rows of texts that travel to Python at once, at most.
 BATCH = 1000
@@ -54,6 +56,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(table: DataFrame, name: str) -> DataFrame:
+    """table, as read from its files, with each row's number from 0 on, in the order of writing, as column `name`. What isn't read
+    from files is written first. Reading deals files out by size, so that the order of the rows as read says nothing."""
+    try:
+        table.select("_metadata.row_index")
+    except AnalysisException:
+        table = materialise(table, "numbered")
+    path = F.col("_metadata.file_path")
+    rows = table.select("*", path.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = table.select(path.alias("_file")).groupBy("_file").agg(F.count("*").alias("_n"))
+    files = files.withColumn("_part", F.regexp_extract("_file", r".*part-(\d+)", 1).try_cast("long"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part", "_file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    files = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")).alias("_base"))
+    return rows.join(F.broadcast(files), "_file").select(*[rows[c] for c in table.columns], (F.col("_base") + F.col("_row")).alias(name))
+
+
 def release() -> None:
     """Deletes what materialise() has written; DataFrames that read it can't be used afterwards."""
     while _written:

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shoalframe.llm import language, media, quality, queries, toxicity, wrappers
+from shoalframe.llm import language, media, mixing, quality, queries, storage, toxicity, wrappers
 from tests.llm.test_duplicates import brute_jaccard, brute_substrings
 from tests.llm.test_packing import check
 
@@ -216,6 +216,33 @@ def test_pipeline_against_plain_stages(spark, tmp_path, rows):
     assert {r["doc_id"] for r in out} == {i for i, _ in kept}
 
 
+@pytest.mark.parametrize("weights", [{"a": 1, "b": 1}, {"a": 3, "b": 1}, {"a": 1, "b": 3}])
+def test_packed_sequences_follow_the_mixture(spark, monkeypatch, weights):
+    real = mixing.mix
+    monkeypatch.setattr(mixing, "mix", lambda docs: real(docs, weights=weights, block_chars=4000, round_slots=8))
+    rows = [(1000 * k + i, "the " * n, s) for k, (s, n) in enumerate([("a", 1000), ("b", 250)]) for i in range(400_000 // n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7, "doc_id")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[-2:]):
+        docs = stage(spark, docs, "") if name in ("mixing", "packing") else docs
+        docs = storage.materialise(docs, f"test{k}")
+    out = docs.toPandas().sort_values(["sequence_id", "offset"])
+    assert out["sequence_id"].nunique() == (out["offset"] == 0).sum()
+    assert out.groupby("doc_id")["length"].sum().sum() == sum(t.count("the") + 1 for _, t, _ in rows)
+    # stretches of the first 45 %, in which neither source has run out at any of these weights
+    total, done = out["length"].sum(), out["length"].cumsum()
+    for low, high in ((0, 0.15), (0.15, 0.3), (0.3, 0.45)):
+        part = out[(done > low * total) & (done <= high * total)]
+        share = part.loc[part["doc_id"] < 1000, "length"].sum() / part["length"].sum()
+        assert abs(share - weights["a"] / sum(weights.values())) < 0.12
+
+
+def test_rows_are_numbered_as_written(spark):
+    table = spark.range(5000).selectExpr("id", "repeat('x', int(id % 977)) AS text").repartitionByRange(13, F.desc("id")).sortWithinPartitions(F.desc("id"))
+    got = storage.numbered(storage.materialise(table, "order"), "n")
+    assert got.columns == ["id", "text", "n"] and got.count() == 5000 and got.filter("n <> 4999 - id").count() == 0
+    assert storage.numbered(table, "n").filter("n <> 4999 - id").count() == 0
+
+
 def jaccard_set(text):
     from tests.llm.test_duplicates import shingle_set
 
