@@ -136,6 +136,24 @@ def test_articles_of_a_host(spark, how):
     assert wrappers.main_text(table.limit(0)).count() == 0
 
 
+def test_pages_are_matched_against_their_wrapper(spark):
+    rng = random.Random(7)
+    body = lambda i, k: "".join(f"<p>{' '.join(f'w{rng.randint(0, 999)}' for _ in range(60))} {i}</p>" for _ in range(1 + (i + k) % 4))
+    hosts = {  # varying text beside the article, a marked container that isn't it, and template within a marked article
+        "plain.example": "<html><body><div>Weather {i} degrees</div><div><h1>Head {i}</h1>{b}</div><div>Visitor {i}</div></body></html>",
+        "teaser.example": '<html><body><div class="story">Teaser {i}</div><div><h1>Head {i}</h1>{b}</div></body></html>',
+        "article.example": "<html><body><article><h1>Head {i}</h1>{b}<div>Read more of us</div></article></body></html>",
+    }
+    rows, want = [], {}
+    for k, (host, page) in enumerate(hosts.items()):
+        for i in range(20):
+            b = body(i, k)
+            rows.append((100 * k + i, f"https://{host}/{i}", page.format(i=i, b=b)))
+            want[100 * k + i] = f"Head {i}\n" + b.replace("<p>", "").replace("</p>", "\n").strip()
+    out = wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in out} == want
+
+
 def test_wrappers_fold_repeats_and_make_options():
     pages = ["<body><div><p>a</p><p>b</p></div></body>", "<body><div><p>c</p><p>d</p><p>e</p></div><hr></body>"]
     wrapper = wrappers.infer(pages)
