@@ -154,6 +154,19 @@ def test_pages_are_matched_against_their_wrapper(spark):
     assert {r["page_id"]: r["text"] for r in out} == want
 
 
+def test_whole_pages_are_aligned():
+    """Long pages of a host without marked containers: what comes after their first 4,000 tokens is still known as template."""
+    rng = random.Random(3)
+    pages = []
+    for i in range(6):
+        mixed = "".join(f"<{t}>w{rng.random()}</{t}>" for t in rng.choices(["p", "h2", "pre", "h3"], k=3000 if i == 2 else 30))
+        pages.append(f"<html><body>{mixed}<address>Made by us</address></body></html>")
+    read = wrappers.reading(wrappers.infer(pages), pages)
+    for page in pages:
+        text = wrappers.extract(page, read)
+        assert "Made by us" not in text and text.count("w0.") == page.count("w0.")
+
+
 def test_wrappers_fold_repeats_and_make_options():
     pages = ["<body><div><p>a</p><p>b</p></div></body>", "<body><div><p>c</p><p>d</p><p>e</p></div><hr></body>"]
     wrapper = wrappers.infer(pages)
