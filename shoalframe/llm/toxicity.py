@@ -1,7 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
 Each word enters as the embedding of its name and the summed embeddings of its character runs. The network reads
-windows of words, half of each overlapping the next, attention pools a window's states, and a document scores as its
+windows of 32 words, the last 8 of which the next one has too, attention pools a window's states, and a document scores as its
 worst window, calibrated on the training documents. Training is multiple-instance: a document's label
 holds for its worst window, through which the gradient goes.
 """
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from .hashing import Words, mix, portions
 from .storage import long_rows
 
-#: Documents of each class that the network is trained on, and characters of each that take part in training.
-DOCS, CHARS = 2000, 12_000
+#: Documents of each class that the network is trained on, with all their windows.
+DOCS = 2000
 WINDOW, STRIDE = 32, 24
 #: Hash buckets of words and of character runs, lengths of the runs in bytes, and the network's widths.
 NAMES, GRAMS, SIZES, WORD, CHAR, HIDDEN, ATTEND = 1 << 16, 1 << 16, (5, 7), 8, 6, 8, 8
@@ -156,8 +156,8 @@ class Network:
         out["rows"] = rows[:-1]
         return out
 
-    def logits(self, t: Texts, block: int = 4096) -> np.ndarray:
-        rows = self.inputs(t)
+    def logits(self, t: Texts, rows: np.ndarray | None = None, block: int = 4096) -> np.ndarray:
+        rows = self.inputs(t) if rows is None else rows
         return np.concatenate([np.zeros(0, np.float32), *[self.forward(t.at[i : i + block], rows)[0] for i in range(0, len(t.at), block)]])
 
     def worst(self, t: Texts) -> np.ndarray:
@@ -201,7 +201,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
             if not len(t.at):
                 continue
             rows = net.inputs(t)
-            logit = net.forward(t.at, rows)[0]
+            logit = net.logits(t, rows)
             # the worst window of each document, and another one of the harmless
             by = np.lexsort((-logit, t.doc))
             head = by[np.flatnonzero(np.diff(t.doc[by], prepend=-1))]
@@ -242,7 +242,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: object, per_class: int
     by = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit("toxic")), "doc_id")
     some = known.withColumn("n", F.row_number().over(by)).filter(F.col("n") <= per_class).select("doc_id", "toxic", "n")
     # at most 2 * per_class rows
-    rows = docs.select("doc_id", F.substring("text", 1, CHARS).alias("text")).join(F.broadcast(some), "doc_id").orderBy("n", "toxic", "doc_id").collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").orderBy("n", "toxic", "doc_id").collect()
     rows = [r for r in rows if r["text"]]
     return train([r["text"] for r in rows], [r["toxic"] for r in rows])
 

@@ -113,6 +113,17 @@ def test_toxicity_learns_and_scores_everything(spark, docs, nothing):
     assert toxicity.train([], []).score(["a", None]).tolist() == pytest.approx([0, 0], abs=1e-6)
 
 
+def test_toxicity_trains_on_whole_texts(spark):
+    rng = random.Random(4)
+    plain = lambda n: " ".join(rng.choice(["the", "on", "ering", "alst", "stone", "river"]) for _ in range(n))
+    rows = [(i, plain(3500) + " scumbag scumbag " + plain(9) if i % 3 == 0 else plain(3500 if i % 3 == 1 else 80), int(i % 3 == 0)) for i in range(48)]
+    assert all(t.index("scumbag") > 12_000 for _, t, y in rows if y)
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    net = toxicity.learn(table.select("doc_id", "text"), table.select("doc_id", "toxic"), F.lit(True))
+    late, clean = net.score([plain(3500) + " scumbag scumbag " + plain(9), plain(3500)])
+    assert late >= 0.5 > clean
+
+
 # ---------------------------------------------------------------- HTML
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var a="</p>";</script></head><body>
 <header class="site-header">Site</header><nav><ul><li>Home</li><li>About</li></ul></nav><div class="cookie-notice">We use cookies</div>
