@@ -14,10 +14,13 @@ slot of the next class exactly is cut off.
 
 from __future__ import annotations
 
+import gc
+import json
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -31,11 +34,20 @@ CAPACITY = 4096
 #: Tokens of a slot that may stay empty before a remainder is cut once more.
 SLACK = 16
 #: Words that a worker remembers.
-CACHE = 800_000
+CACHE = 600_000
 
-_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+_PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+|\n")
+#: The same for ASCII in lower case, which the plain module finds faster.
+_ASCII = re.compile(r"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9]+|\n")
 #: Above this, case folding and white space follow the tokenizer library itself.
-_PLAIN = regex.compile("[\x20-\x7e¡-ɏ]*")
+_PLAIN = re.compile("[\n\x20-\x7e¡-ɏ]*")
+#: Stands between words; no id is as large.
+_STOP = b"\xff\xff\xff\xff"
+#: What WordTokenizer does itself, as a tokenizer's file must define it.
+_KNOWN = {
+    "normalizer": ["NFC", "\\s+", "Lowercase"],
+    "pre_tokenizer": ["'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+", "ByteLevel"],
+}
 
 
 def _byte_chars() -> dict[int, int]:
@@ -45,47 +57,70 @@ def _byte_chars() -> dict[int, int]:
     return {b: b for b in keep} | {b: 256 + i for i, b in enumerate(rest)}
 
 
+def _steps(part: dict | None) -> list[str]:
+    """The kinds, or patterns, of a normalizer's or pre-tokenizer's parts."""
+    parts = (part or {}).get("normalizers") or (part or {}).get("pretokenizers") or ([part] if part else [])
+    return [p.get("pattern", {}).get("Regex") or p["type"] for p in parts]
+
+
 class WordTokenizer:
-    """Ids of whole texts by a tokenizer whose pre-tokens never span white space; words are looked up once and remembered."""
+    """Ids of whole texts by a tokenizer whose pre-tokens never span white space; words are looked up once and remembered.
+
+    A tokenizer file that defines another normalizer or splitting than this class knows is left to the library.
+    """
 
     def __init__(self, path: str, cache: int = CACHE):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.full = Tokenizer.from_file(path)
+        kind = json.loads(Path(path).read_text())
+        model = kind["model"]
+        self.fast = all(_steps(kind.get(k)) == v for k, v in _KNOWN.items()) and model["type"] == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout")
         self.model = Tokenizer(self.full.model)
         self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        vocab = self.full.get_vocab()
+        vocab = model["vocab"]
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.table = _byte_chars() | {32: 32}
-        self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
-        self.cache, self.most = {}, cache
+        self.special = [t["content"] for t in kind["added_tokens"]]
+        self.cache, self.most = {"\n": _STOP}, cache
 
-    def _learn(self, words: list[str]) -> None:
-        split: list[tuple[str, list[str]]] = []
-        for w in words:
-            if w.isascii() and w.isalpha():
-                split.append((w, [w.lower()]))
-            elif _PLAIN.fullmatch(w) and not any(s in w for s in self.special):
-                split.append((w, _PIECE.findall(unicodedata.normalize("NFC", w).lower())))
-            else:
-                self.cache[w] = np.array(self.full.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
-        pieces = list(dict.fromkeys(p for _, parts in split for p in parts))
-        if not pieces:
-            self.cache.update((w, b"") for w, _ in split)
+    def _pieces(self, new: list[str]) -> None:
+        """Remembers pieces: what is neither split nor folded any further."""
+        if not new:
             return
-        text = " ".join(pieces).encode().decode("latin-1").translate(self.table)
+        text = " ".join(new).encode().decode("latin-1").translate(self.table)
         ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(pieces):
+        if len(stops) != len(new):
             raise ValueError("the tokenizer's pieces don't end where words do")
-        raw, at, known = ids.tobytes(), 0, {}
-        for p, stop in zip(pieces, (stops * 4).tolist(), strict=True):
-            known[p], at = raw[at:stop], stop
-        for w, parts in split:
-            self.cache[w] = known[parts[0]] if len(parts) == 1 else b"".join(map(known.__getitem__, parts))
+        raw, at = ids.tobytes(), 0
+        for p, stop in zip(new, (stops * 4).tolist(), strict=True):
+            self.cache[p], at = raw[at:stop], stop
 
-    def encode(self, texts: list[str | None], chars: int = 3_000_000) -> Iterator[np.ndarray]:
+    def _learn(self, words: list[str]) -> None:
+        """Remembers words, all of them as one text of a word per line."""
+        known = self.cache
+        whole = "\n".join(words)
+        if not _PLAIN.fullmatch(whole) or any(s in whole for s in self.special):
+            plain = []
+            for w in words:
+                if _PLAIN.fullmatch(w) and not any(s in w for s in self.special):
+                    plain.append(w)
+                else:
+                    known[w] = np.array(self.full.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
+            words = plain
+        ascii_, other = [w for w in words if w.isascii()], [w for w in words if not w.isascii()]
+        for part, pattern in ((ascii_, _ASCII), (other, _PIECE)):
+            if not part:
+                continue
+            pieces = pattern.findall(unicodedata.normalize("NFC", "\n".join(part)).lower())
+            self._pieces([p for p in dict.fromkeys(pieces) if p not in known])
+            raw = b"".join(map(known.__getitem__, pieces))
+            stops = 4 * np.flatnonzero(np.frombuffer(raw, "<u4") == 0xFFFFFFFF)
+            known.update((w, raw[a:b]) for w, a, b in zip(part, [0, *(stops + 4).tolist()], [*stops.tolist(), len(raw)], strict=True))
+
+    def encode(self, texts: list[str | None], chars: int = 2_000_000) -> Iterator[np.ndarray]:
         """Ids of each text, in order; new words are learnt together for about `chars` characters."""
         group, size = [], 0
         for text in texts:
@@ -97,20 +132,22 @@ class WordTokenizer:
         yield from self._together(group)
 
     def _together(self, texts: list[str]) -> Iterator[np.ndarray]:
-        odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]  # white space to Python, not to the tokenizer
+        odd = [not self.fast or any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]  # white space to Python, not to the tokenizer
         words = [[] if o else t.split() for t, o in zip(texts, odd, strict=True)]
-        known = self.cache
-        missing = [w for w in set(chain.from_iterable(words)) if w not in known]
+        if len(self.cache) > self.most:
+            self.cache = {"\n": _STOP}
+        found = [list(map(self.cache.get, w)) for w in words]
+        missing = dict.fromkeys(w for some, ids in zip(words, found, strict=True) if None in ids for w, raw in zip(some, ids, strict=True) if raw is None)
         if missing:
-            if len(known) + len(missing) > self.most:
-                known.clear()
-                missing = list(set(chain.from_iterable(words)))
-            self._learn(missing)
-        for t, o, w in zip(texts, odd, words, strict=True):
+            self._learn(list(missing))
+        known = self.cache
+        for t, o, some, ids in zip(texts, odd, words, found, strict=True):
             if o:
                 yield np.array(self.full.encode(t, add_special_tokens=False).ids, "<u4")
             else:
-                yield np.frombuffer(b"".join(map(known.__getitem__, w)), "<u4")
+                if None in ids:
+                    ids = [known[w] if raw is None else raw for w, raw in zip(some, ids, strict=True)]
+                yield np.frombuffer(b"".join(ids), "<u4")
 
 
 def cuts(n: int, capacity: int = CAPACITY, slack: int = SLACK) -> list[int]:
@@ -132,6 +169,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tok = WordTokenizer(tokenizer_path)
+        gc.disable()  # a few hundred thousand remembered words are no garbage, and looking through them again and again takes a tenth of the time
         for batch in batches:
             rows, numbers = [], []
             own = batch["number"] if number else [None] * len(batch)
@@ -145,6 +183,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int
             out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "k"]).astype({"doc_id": "Int64"})
             yield out.assign(number=numbers) if number else out
         del tok
+        gc.enable()
         trim()
 
     columns = [F.col("doc_id").cast("long"), F.col("text"), *([F.col(number).cast("long").alias("number")] if number else [])]

@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -27,6 +27,26 @@ def test_words_are_encoded_as_the_library_does():
         assert [g.tolist() for g in got] == [full.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_other_tokenizers_are_left_to_the_library(tmp_path):
+    """A file with another splitting: the words aren't looked up one by one."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    full = Tokenizer.from_file(tokenizer_path())
+    full.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    full.save(str(tmp_path / "other.json"))
+    tok = packing.WordTokenizer(str(tmp_path / "other.json"))
+    texts = ["two  words, 12!", "", None]
+    assert packing.WordTokenizer(tokenizer_path()).fast and not tok.fast
+    assert [g.tolist() for g in tok.encode(texts)] == [full.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aBé'sTǆßİ 12!\n\t.<|¹ \u0301\u00ad")), max_size=5))
+def test_any_text_is_encoded_as_the_library_does(texts):
+    tok = packing.WordTokenizer(tokenizer_path(), 50)
+    assert [g.tolist() for g in tok.encode(texts, chars=10)] == [tok.full.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def check(out, texts):
     from tokenizers import Tokenizer
 
