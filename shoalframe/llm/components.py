@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from .storage import materialise
 
+#: Most hubs that are broadcast, 16 bytes each, and rows that a hub has at least.
+HUBS, OFTEN = 4096, 256
+
 
 class Forest:
     """Union-find over hashable ids; the smallest id of a set is its root."""
@@ -52,16 +55,28 @@ def local(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").cast("long"), F.col("b").cast("long")).mapInPandas(run, "a long, b long")
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _with_least(rows: DataFrame, total: int) -> DataFrame:
+    """u, v, m of the rows (u, v): m is the least v of all rows of that u. total: about how many rows there are.
+
+    A u of over a HUBS-th of the rows is a hub, of which there are fewer than HUBS: their m are broadcast, so that a hub's rows stay
+    where they are; only the others meet by their u.
+    """
+    least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    often = max(OFTEN, total // HUBS)
+    hubs, others = least.filter(F.col("n") > often).select("u", "m"), least.filter(F.col("n") <= often).select("u", "m")
+    near = rows.join(F.broadcast(hubs), "u").select("u", "v", "m")
+    return near.union(rows.join(F.broadcast(hubs.select("u")), "u", "left_anti").join(others, "u").select("u", "v", "m"))
+
+
+def _large(edges: DataFrame, total: int) -> DataFrame:
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+    return _with_least(both, 2 * total).filter("v > u").select(F.col("v").alias("a"), F.least("u", "m").alias("b")).distinct()
 
 
-def _small(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+def _small(edges: DataFrame, total: int) -> DataFrame:
+    rows = _with_least(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), total)
+    moved = rows.filter("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return moved.union(edges.groupBy("a").agg(F.min("b").alias("b"))).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -70,11 +85,12 @@ def components(edges: DataFrame) -> DataFrame:
     Edges (a, b) may repeat and go either way; nulls and loops are left out; no edges: no rows.
     """
     edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges = materialise(local(edges), "edges")
+    # written first: what made the edges and local() would otherwise keep two Python workers in each task
+    edges = materialise(local(materialise(edges, "found")), "edges")
     while True:
         # every id has one edge, and that leads to an id that has none: only stars are left
         ends = edges.agg(F.count("a").alias("n"), F.count_distinct("a").alias("ids")).first()
-        if ends["n"] == ends["ids"] and edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
+        if ends["n"] == ends["ids"] and edges.select("b").distinct().join(edges.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             break
-        edges = materialise(_small(_large(edges)), "edges")
+        edges = materialise(_small(materialise(_large(edges, ends["n"]), "stars"), ends["n"]), "edges")
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
