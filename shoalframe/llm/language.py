@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,18 +21,23 @@ from .storage import long_rows
 #: The bounded sample that the dictionaries are made of: texts of each language, bytes of each text, bytes of a dictionary.
 TEXTS, PASSAGE, DICTIONARY = 64, 1500, 32768
 BLOCK = 1024
-#: A margin is narrow if the runner-up needs less than this share of the folded bytes more ...
-NARROW = 0.0005
-#: ... in a text of at least so many folded bytes: sizes are whole bytes, too coarse for shorter texts.
-JUDGED = 64
+#: A margin is narrow if the runner-up needs less than this times the root of the folded bytes more: sizes of a text that favours no
+#: language differ like a random walk's ends (by about 0.2 at most in letters drawn at random). A tie is narrow at every length.
+NARROW = 0.12
 
-_REST = re.compile(r"[\W\d_]+")
+_REST = regex.compile(r"[^\p{L}\p{M}]+")
+_ASCII_REST = re.compile(r"[^a-z]+")
+_LETTER = regex.compile(r"\p{L}")
 #: Blocks follow a run that always compresses, so that short blocks are never stored uncompressed.
 _LEAD = b" " * 64
 
 
 def fold(text: str | None) -> bytes:
-    return _REST.sub(" ", (text or "").lower()).strip().encode()
+    """The letters, in lower case, with one space for what is between them; nothing for a text without a letter."""
+    low = (text or "").lower()
+    if low.isascii():
+        return _ASCII_REST.sub(" ", low).strip().encode()
+    return _REST.sub(" ", low).strip().encode("utf-8", "replace") if _LETTER.search(low) else b""
 
 
 class Classifier:
@@ -53,7 +59,7 @@ class Classifier:
         return [sum(len(c.compress(b)) for b in blocks) - n * len(blocks) for c, n in zip(self.coders, self.lead, strict=True)]
 
     def classify(self, text: str | None) -> tuple[str, float, bool]:
-        """Language, score in 0..1, and whether to reject: no letter, or a narrow margin."""
+        """Language, score in 0..1, and whether to reject: no letter, or a narrow margin, such as a tie."""
         folded = fold(text)
         if not folded or not self.languages:
             return "und", 0.0, True
@@ -61,27 +67,32 @@ class Classifier:
         best = int(sizes.argmin())
         margin = float(np.partition(sizes, 1)[1] - sizes[best]) if len(sizes) > 1 else float(len(folded))
         score = float(1 / np.exp2(-np.minimum(sizes - sizes[best], 60)).sum())
-        return self.languages[best], score, len(folded) >= JUDGED and margin < NARROW * len(folded)
+        return self.languages[best], score, margin < NARROW * len(folded) ** 0.5
 
 
 def learn(docs: DataFrame, train: object, texts: int = TEXTS, passage: int = PASSAGE, dictionary: int = DICTIONARY) -> dict[str, bytes]:
     """Dictionaries from at most `texts` texts of each language among the rows where `train` holds."""
     rows = docs.filter(train).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", "doc_id")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row per language
-    by = Window.partitionBy("lang").orderBy("hash", "doc_id")
-    some = rows.select("lang", F.substring("text", 1, 4 * passage).alias("text"), "doc_id", F.xxhash64("doc_id", F.lit("sample")).alias("hash"))
+    if not counts:
+        return {}
+    by = Window.partitionBy("lang").orderBy("hash", "doc_id", "text")
+    some = rows.select("lang", F.substring("text", 1, 4 * passage).alias("text"), "doc_id", F.xxhash64("doc_id", "text", F.lit("sample")).alias("hash"))
+    # of each language, about eight times as many rows as are wanted are ranked, however many there are
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, max(1, round(min(1.0, 8 * texts / n) * (1 << 40))))])
+    some = some.filter(F.pmod("hash", F.lit(1 << 40)) < share[F.col("lang")])
     some = some.withColumn("n", F.row_number().over(by)).filter(F.col("n") <= texts).orderBy("lang", "n").collect()  # texts * languages rows
     passages = {}
     for lang in sorted(counts, key=lambda x: (-counts[x], x)):
         passages[lang] = b" ".join(fold(r["text"])[:passage] for r in some if r["lang"] == lang)[:dictionary]
-    return {k: v for k, v in passages.items() if len(v) >= 8}
+    return {k: v.rjust(8) for k, v in passages.items()}  # a dictionary has 8 bytes at least
 
 
 def identify(docs: DataFrame, passages: dict[str, bytes]) -> DataFrame:
     """doc_id, lang_pred, score, rejected for every row of docs, from its whole text alone.
 
-    Null, empty or letterless texts, and all texts if no language was learnt: `und`, 0, rejected. Ties go to the
-    language with more training rows. Null doc_ids and repeated rows are kept; an empty table gives no rows.
+    Null, empty or letterless texts (no character of category L), and all texts if no language was learnt: `und`, 0, rejected.
+    Ties go to the language with more training rows, and are rejected. Null doc_ids and repeated rows are kept; an empty table gives no rows.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
