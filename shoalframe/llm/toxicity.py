@@ -170,10 +170,18 @@ class Network:
         out = np.empty(len(texts))
         for at, part in portions(texts, 1 << 20):
             worst = self.worst(Texts(part))
-            out[at : at + len(part)] = np.where(np.isfinite(worst), _sigmoid(self.scale * worst + self.shift), self.base)
+            some = np.isfinite(worst)
+            out[at : at + len(part)] = np.where(some, _sigmoid(self.scale * np.where(some, worst, 0) + self.shift), self.base)
         return out
 
 
+def _summed(index: np.ndarray, grads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows, and each one's sum of gradients."""
+    order = np.argsort(index, kind="stable")
+    rows, first = np.unique(index[order], return_index=True)
+    return rows, np.add.reduceat(grads[order], first) if len(rows) else grads
+
+
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
     """With one class only, a network that gives every text that class' rate."""
     net, y, r = Network(seed), np.array(labels, float), np.random.default_rng(seed)
@@ -213,17 +221,18 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
             out, cache = net.forward(at, rows[words], True)
             grads = net.backward(((_sigmoid(out) - y[pick][t.doc[chosen]]) / len(chosen)).astype(np.float32), cache)
             dense = grads.pop("rows")
-            grads["word"], grads["char"] = np.zeros_like(net.p["word"]), np.zeros_like(net.p["char"])
-            np.add.at(grads["word"], t.bucket[words], dense[:, :WORD])
-            for w, g in zip(words.tolist(), dense[:, WORD:], strict=True):
-                a, n = t.cut[w], t.cut[w + 1] if w + 1 < len(t.cut) else len(t.grams)
-                np.add.at(grads["char"], t.grams[a:n].reshape(-1), g)
+            size = np.append(t.cut[1:], len(t.grams))[words] - t.cut[words]
+            which = np.repeat(np.arange(len(words)), size)
+            place = t.cut[words][which] + np.arange(len(which)) - (np.cumsum(size) - size)[which]
+            tables = {"word": (t.bucket[words], dense[:, :WORD]), "char": (t.grams[place].reshape(-1), np.repeat(dense[which, WORD:], len(SIZES), 0))}
             step += 1
-            for k, g in grads.items():
-                m[k] += 0.1 * (g - m[k])
-                v[k] += 0.01 * (g * g - v[k])
-                rate = 0.01 * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
-                net.p[k] -= (rate * m[k] / (np.sqrt(v[k]) + 1e-7)).astype(np.float32)
+            rate = 0.01 * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+            for k in net.p:
+                # of the tables, only the rows that were met move
+                at, g = _summed(*tables[k]) if k in tables else (slice(None), grads[k])
+                m[k][at] += 0.1 * (g - m[k][at])
+                v[k][at] += 0.01 * (g * g - v[k][at])
+                net.p[k][at] -= (rate * m[k][at] / (np.sqrt(v[k][at]) + 1e-7)).astype(np.float32)
     # calibration of the documents' worst windows
     worst = np.concatenate([net.worst(Texts(texts[i : i + 64])) for i in range(0, len(texts), 64)])
     ok = np.isfinite(worst)
@@ -237,12 +246,19 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
 
 
 def learn(docs: DataFrame, labels: DataFrame, train_rows: object, per_class: int = DOCS) -> Network:
-    """Trains on at most `per_class` labelled documents of each class, drawn by a hash of the doc_id."""
-    known = labels.filter(train_rows).filter("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    by = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit("toxic")), "doc_id")
-    some = known.withColumn("n", F.row_number().over(by)).filter(F.col("n") <= per_class).select("doc_id", "toxic", "n")
-    # at most 2 * per_class rows
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").orderBy("n", "toxic", "doc_id").collect()
+    """Trains on at most `per_class` labelled documents of each class, drawn by a hash of the doc_id. Of rows that share a doc_id one
+    counts, with the greatest text and label."""
+    known = labels.filter(train_rows).filter("doc_id is not null and toxic in (0, 1)")
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("hash", F.xxhash64("doc_id", F.lit("toxic")))
+    counts = known.agg(F.sum("toxic"), F.count("*")).first()
+    share = [max(1, round(min(1.0, 4 * per_class / max(1, n)) * (1 << 40))) for n in ((counts[1] or 0) - (counts[0] or 0), counts[0] or 0)]
+    # of each class, about four times as many rows as are wanted are ranked, however many there are
+    few = known.filter(F.pmod("hash", F.lit(1 << 40)) < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+    by = Window.partitionBy("toxic").orderBy("hash", "doc_id")
+    some = few.withColumn("n", F.row_number().over(by)).filter(F.col("n") <= per_class).select("doc_id", "toxic", "n")
+    # at most 2 * per_class rows, as one counts of those that share a doc_id
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("n", "toxic", "doc_id").agg(F.max("text").alias("text"))
+    rows = rows.orderBy("n", "toxic", "doc_id").collect()
     rows = [r for r in rows if r["text"]]
     return train([r["text"] for r in rows], [r["toxic"] for r in rows])
 
