@@ -1,7 +1,8 @@
 """Quality by co-training: one classifier reads the text, another the metadata, and each labels for the other.
 
 In every round, each view's classifier is fitted on its labelled rows and gives the rows of the unlabelled pool that it is most
-sure of, for either class, to the other view. Each view is calibrated on labelled rows kept back, and a small
+sure of, for either class, to the other view. The pool is refilled with rows that no round has seen yet; it is a sample, as what
+is passed on is a share of it, and a linear model of some 1,300 weights gains little from more. Each view is calibrated on labelled rows kept back, and a small
 logistic model over both calibrated views scores every document.
 """
 
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from .hashing import mix, portions
 from .storage import long_rows
 
-#: Rows of the bounded sample: labelled, and unlabelled.
-LABELLED, POOL = 5000, 5000
+#: Rows of the bounded sample: labelled, and unlabelled ones that come to the pool in each round.
+LABELLED, POOL = 5000, 2500
 TRIGRAMS, SURFACE, META = 1024, 8, 256
 ROUNDS = 5
 #: Rows that each view passes on per round and class, as a share of the pool.
@@ -92,16 +93,18 @@ class Logistic:
 
 class CoTrained:
     def __init__(self, views: list[np.ndarray], y: np.ndarray, pools: list[np.ndarray], rounds: int = ROUNDS, share: float = SHARE):
-        """views, y: labelled rows, the last fifth of which calibrate; pools: the views of unlabelled rows."""
+        """views, y: labelled rows, the last fifth of which calibrate; pools: the views of unlabelled rows, an equal part of which joins
+        the pool in each round."""
         self.rate = float(y.mean()) if len(y) else 0.5
         self.models = None
         cut = len(y) - len(y) // 5
         if min(np.bincount(y[:cut].astype(int), minlength=2)) < 2 or min(np.bincount(y[cut:].astype(int), minlength=2)) < 1:
             return
         own = [(v[:cut], y[:cut].astype(float)) for v in views]
-        free = np.ones(len(pools[0]), bool)
-        for _ in range(rounds):
+        free = np.zeros(len(pools[0]), bool)
+        for r in range(rounds):
             models = [Logistic(x, t, 10.0) for x, t in own]
+            free[len(free) * r // rounds : len(free) * (r + 1) // rounds] = True
             if not free.any():
                 break
             logits = [m.logit(p) for m, p in zip(models, pools, strict=True)]
@@ -109,8 +112,8 @@ class CoTrained:
             for k in (0, 1):
                 todo = np.flatnonzero(free)
                 order = todo[np.argsort(logits[k][todo], kind="stable")]
-                high = max(1, int(share * len(free) * self.rate * 2))
-                low = max(1, int(share * len(free) * (1 - self.rate) * 2))
+                high = max(1, int(share * len(todo) * self.rate * 2))
+                low = max(1, int(share * len(todo) * (1 - self.rate) * 2))
                 # what a view isn't sure of, it doesn't pass on
                 give = np.concatenate([order[:low][logits[k][order[:low]] < -1], order[-high:][logits[k][order[-high:]] > 1]])
                 gifts.append((1 - k, give, (logits[k][give] > 0).astype(float)))
@@ -132,19 +135,22 @@ class CoTrained:
 
 
 def learn(docs: DataFrame, labels: DataFrame, train: object, columns: list[str], labelled: int = LABELLED, pool: int = POOL) -> CoTrained:
-    """Fits on bounded samples, drawn by a hash of the doc_id: labelled rows where `train` holds, and others."""
-    known = labels.filter(train).filter("doc_id is not null and quality in (0, 1)").select("doc_id", F.col("quality").cast("int").alias("y"))
+    """Fits on bounded samples, drawn by a hash of the doc_id: labelled rows where `train` holds, and others, `pool` for each round. Of rows
+    that share a doc_id the least counts, with the greatest label."""
+    known = labels.filter(train).filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
     some = known.orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id").limit(labelled)
     others = docs.select("doc_id").filter("doc_id is not null").join(labels.select("doc_id"), "doc_id", "left_anti")
-    others = others.orderBy(F.xxhash64("doc_id", F.lit("pool")), "doc_id").limit(pool).select("doc_id", F.lit(-1).alias("y"))
-    picked = some.union(others)  # at most labelled + pool rows
+    others = others.distinct().orderBy(F.xxhash64("doc_id", F.lit("pool")), "doc_id").limit(pool * ROUNDS).select("doc_id", F.lit(-1).alias("y"))
+    picked = some.union(others)  # at most labelled + pool * ROUNDS rows
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = np.concatenate([content(batch["text"].tolist()), metadata(batch, columns)], 1)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "x": [r.astype(np.float32).tobytes() for r in x]})
 
-    rows = docs.select("doc_id", "text", *columns).join(F.broadcast(picked), "doc_id").mapInPandas(features, "doc_id long, y int, x binary")
+    # of rows that share a doc_id one counts
+    one = docs.select("doc_id", F.struct("text", *columns).alias("row")).join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y").agg(F.min("row").alias("row"))
+    rows = one.select("doc_id", "y", "row.*").mapInPandas(features, "doc_id long, y int, x binary")
     rows = rows.toPandas().sort_values("doc_id", key=lambda s: mix(s.to_numpy(np.int64).astype(np.uint64)))
     x = np.stack([np.frombuffer(r, np.float32) for r in rows["x"]]) if len(rows) else np.zeros((0, TRIGRAMS + SURFACE + META), np.float32)
     y = rows["y"].to_numpy()
