@@ -9,6 +9,9 @@ hangs on words outside. Each symbol knows the words its parse hangs on (its cont
 A window's anchor is a symbol of the highest level whose context lies in the window (of those, the smallest name), so equal
 windows have equal anchors. Anchors are exchanged once; windows whose anchor another portion has as well are then verified: their own
 96-bit names are exchanged, and the portions learn which windows start in a document with a smaller id.
+
+Windows are told apart by these 96 bits, in a portion and between portions: among n distinct windows, about n * n / 2**97 pairs would be
+taken for equal. The symbols' names only choose anchors, where a clash costs a comparison and changes nothing.
 """
 
 from __future__ import annotations
@@ -256,21 +259,22 @@ def deduplicate(docs: DataFrame, keep: bool = False) -> DataFrame:
         for i, o in enumerate(owners.tolist()):
             if cut[i] < cut[i + 1]:
                 at = later[cut[i] : cut[i + 1]]
-                rows.append((o, one[at].tobytes(), low[at].tobytes()))
-        return pd.DataFrame(rows, columns=["portion", "names", "ids"])
+                rows.append((o, one[at].tobytes(), two[at].tobytes(), low[at].tobytes()))
+        return pd.DataFrame(rows, columns=["portion", "names", "more", "ids"])
 
     asked = held.select("portion", "blob").groupBy("portion").cogroup(shared.groupBy("portion")).applyInPandas(verify, "part int, blob binary")
-    told = asked.groupBy("part").applyInPandas(least, "portion long, names binary, ids binary")
+    told = asked.groupBy("part").applyInPandas(least, "portion long, names binary, more binary, ids binary")
 
     def strip(left: pa.Table, right: pa.Table) -> pa.Table:
         tables = []
         for blob in left["blob"].to_pylist():
             rows = _read(blob)
             names = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x, np.uint64) for x in right["names"].to_pylist()]])
+            more = np.concatenate([np.zeros(0, np.uint32), *[np.frombuffer(x, np.uint32) for x in right["more"].to_pylist()]])
             low = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(x, np.int64) for x in right["ids"].to_pylist()]])
-            tables.append(_stripped(rows, names, low, keep))
+            tables.append(_stripped(rows, names, more, low, keep))
         trim()
-        return pa.concat_tables(tables) if tables else _stripped(_empty(columns), np.zeros(0, np.uint64), np.zeros(0, np.int64), keep)
+        return pa.concat_tables(tables) if tables else _stripped(_empty(columns), np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64), keep)
 
     result = schema if keep else "doc_id long, n_words long, n_removed long, kept_sha256 string"
     return held.select("portion", "blob").groupBy("portion").cogroup(told.groupBy("portion")).applyInArrow(strip, result)
@@ -282,22 +286,25 @@ def _empty(schema: T.StructType) -> pa.Table:
     return to_arrow_schema(schema).empty_table()
 
 
-def _stripped(rows: pa.Table, names: np.ndarray, low: np.ndarray, keep: bool) -> pa.Table:
-    """rows without the words to remove; names, low: windows of smaller documents in other portions."""
-    p = Portion(rows)
-    one, ids = p.windows(0), p.ids[p.of] if len(p.of) else np.zeros(0, np.int64)
-    order = np.lexsort((ids, one))
-    first = np.concatenate([[True], one[order][1:] != one[order][:-1]]) if len(one) else np.zeros(0, bool)
+def _stripped(rows: pa.Table, names: np.ndarray, more: np.ndarray, low: np.ndarray, keep: bool) -> pa.Table:
+    """rows without the words to remove; names and more (a window's 96 bits), low: windows of smaller documents in other portions."""
+    p = Portion(rows, streams=2)
+    one, two, ids = p.windows(0), (p.windows(1) >> np.uint64(32)).astype(np.uint32), p.ids[p.of] if len(p.of) else np.zeros(0, np.int64)
+    order = np.lexsort((ids, two, one))
+    one, two, ids = one[order], two[order], ids[order]
+    first = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])]) if len(one) else np.zeros(0, bool)
     at = np.flatnonzero(first)
     group = np.cumsum(first) - 1
-    heads, least = one[order][at], ids[order][at]
+    heads, rest, least = one[at], two[at], ids[at]
     if len(heads) and len(names):
-        place = np.minimum(np.searchsorted(heads, names), len(heads) - 1)
-        hit = heads[place] == names
-        np.minimum.at(least, place[hit], low[hit])
+        begin, end = np.searchsorted(heads, names), np.searchsorted(heads, names, "right")
+        for k in range(int((end - begin).max())):  # windows that agree in 64 bits
+            place = np.minimum(begin + k, len(heads) - 1)
+            hit = (begin + k < end) & (rest[place] == more)
+            np.minimum.at(least, place[hit], low[hit])
     covers = np.zeros(len(p.doc) + 1, np.int64)
     if len(one):
-        doomed = p.starts[order][ids[order] > least[group]]
+        doomed = p.starts[order][ids > least[group]]
         np.add.at(covers, doomed, 1)
         np.add.at(covers, doomed + WINDOW, -1)
     gone = np.cumsum(covers)[:-1] > 0
