@@ -214,7 +214,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
     """Packs every document (doc_id, text) into sequences of at most `capacity` ids.
 
     Null or empty text: one piece with the end id alone. Null doc_ids and repeated rows are packed like any
-    other row, once per row. An empty table gives no rows. Other columns are ignored. `number` names a column
+    other row, once per row. An empty table gives no rows. Other columns are ignored. The classes' last pieces, fewer than
+    k of each class k that cutting makes (some 21,000 in all, whatever the input), are packed in one task. `number` names a column
     of distinct numbers from 0 on: sequences, and the pieces within each class, then follow it.
     Returns doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
     """
@@ -228,7 +229,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
     else:
         keys = ["doc_id", "start", "ids_crc32"]
         cut = cut.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-    # At most `capacity` classes times `buckets` rows, whatever the number of documents.
+    # At most `capacity` classes times `buckets` rows. Spark broadcasts what is joined to the pieces only below its threshold; beyond it, the
+    # pieces meet their class and bucket in the shuffle that ranking needs anyway.
     counts = cut.groupBy("k", "bucket").agg(F.count("*").alias("n"))
     base = counts.select(
         "k",
@@ -240,7 +242,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
         per = counts.groupBy("bucket").agg(F.sum("n").alias("n"))
         first = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("bucket")) - F.col("n")  # a row per bucket
         base = base.join(per.select("bucket", first.alias("first")), "bucket")
-    ranked = cut.join(F.broadcast(base), ["k", "bucket"])
+    ranked = cut.join(base, ["k", "bucket"])
     if number:
         ranked = ranked.withColumn("piece", F.col("first") + F.row_number().over(Window.partitionBy("bucket").orderBy(*keys)) - 1)
     order = Window.partitionBy("k", "bucket").orderBy(*keys)
