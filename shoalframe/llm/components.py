@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialise
+from .storage import discard, materialise
 
 #: Most hubs that are broadcast, 16 bytes each, and rows that a hub has at least.
 HUBS, OFTEN = 4096, 256
@@ -86,11 +86,16 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     # written first: what made the edges and local() would otherwise keep two Python workers in each task
-    edges = materialise(local(materialise(edges, "found")), "edges")
+    found = materialise(edges, "found")
+    edges = materialise(local(found), "edges")
+    discard(found)
     while True:
         # every id has one edge, and that leads to an id that has none: only stars are left
         ends = edges.agg(F.count("a").alias("n"), F.count_distinct("a").alias("ids")).first()
         if ends["n"] == ends["ids"] and edges.select("b").distinct().join(edges.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             break
-        edges = materialise(_small(materialise(_large(edges, ends["n"]), "stars"), ends["n"]), "edges")
+        stars = materialise(_large(edges, ends["n"]), "stars")
+        discard(edges)
+        edges = materialise(_small(stars, ends["n"]), "edges")
+        discard(stars)
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

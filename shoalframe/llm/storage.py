@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import re
 import tempfile
 import uuid
 
@@ -18,9 +19,12 @@ _written: list[tuple[object, str]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where it is unset, as in tests, one of our own."""
+    """The folder named by spark.checkpoint.dir. Where it is unset, one of our own for a master that runs in this process alone, as in
+    tests; a cluster must name one that driver and executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="shoalframe-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -53,7 +57,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes a table that materialise() returned and that nothing reads any more."""
+    entry = (table.sparkSession, table.written_at)
+    _written.remove(entry)
+    _delete(*entry)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def numbered(table: DataFrame, name: str) -> DataFrame:
@@ -75,10 +93,8 @@ def numbered(table: DataFrame, name: str) -> DataFrame:
 def release() -> None:
     """Deletes what materialise() has written; DataFrames that read it can't be used afterwards."""
     while _written:
-        spark, path = _written.pop()
         try:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(*_written.pop())
         except Exception:  # noqa: BLE001  the session has ended; the folder's owner clears it
             return
 
