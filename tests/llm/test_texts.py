@@ -37,10 +37,53 @@ def test_language_edges(spark, docs, nothing):
     assert kept.columns == docs.columns and {0, 1, 2, 7}.isdisjoint({r["doc_id"] for r in kept.collect()})
 
 
-def test_ties_go_to_the_commoner_language():
+def test_ties_go_to_the_commoner_language_and_are_narrow():
     model = language.Classifier({"b": b"the same passage for both", "a": b"the same passage for both"})
     assert model.classify("passage")[0] == "b"
-    assert model.classify("passage for " * 20)[2]
+    assert model.classify("passage")[2] and model.classify("passage for " * 20)[2]
+
+
+def test_texts_without_a_letter_are_undetermined(spark):
+    passages = {"en": b"the one of the others and the rest", "de": b"die eine der anderen und der rest"}
+    rows = [(1, "²³"), (2, "½ ¾"), (3, "①② 12"), (4, "_ !"), (5, "the others"), (5, "the others"), (None, "der andere"), (None, None), (6, "the\u0301 ²")]
+    out = language.identify(spark.createDataFrame(rows, "doc_id long, text string"), passages).collect()
+    assert len(out) == 9
+    got = {r["doc_id"]: r["lang_pred"] for r in out if r["doc_id"]}
+    assert got == {1: "und", 2: "und", 3: "und", 4: "und", 5: "en", 6: "en"}
+    assert sorted(r["lang_pred"] for r in out if r["doc_id"] is None) == ["de", "und"]
+    tiny = language.learn(spark.createDataFrame([(1, "é", "fr"), (2, "the others", "en")], "doc_id long, text string, lang string"), F.lit(True))
+    assert set(tiny) == {"fr", "en"} and language.Classifier(tiny).classify("others")[0] == "en"
+
+
+def test_sizes_against_plain_compression(spark):
+    """Brute force: every block on its own, by a compressor made anew."""
+    import zstandard as z
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(40)
+    passages = language.learn(spark.read.parquet(f"{SF}/documents.parquet"), F.lit(True))
+    lead = b" " * 64
+
+    def size(raw, passage):
+        params = z.ZstdCompressionParameters.from_level(6, source_size=language.BLOCK + 64, dict_size=language.DICTIONARY, min_match=3, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return len(z.ZstdCompressor(dict_data=z.ZstdCompressionDict(passage, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=params).compress(raw))
+
+    want = {}
+    for r in docs.collect():
+        folded = "".join(c if c.isalpha() else " " for c in (r["text"] or "").lower())
+        folded = " ".join(folded.split()).encode()
+        total = {k: sum(size(lead + folded[i : i + language.BLOCK], p) - size(lead, p) for i in range(0, len(folded), language.BLOCK)) for k, p in passages.items()}
+        want[r["doc_id"]] = min(total, key=total.get) if folded else "und"
+    assert {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, passages).collect()} == want
+
+
+def test_noise_is_rejected_and_clean_rows_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.Classifier(language.learn(docs, queries.fold_of(4) != 2))
+    rng = random.Random(4)
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)) for n in (50, 200, 1000, 4000) for _ in range(40)]
+    assert np.mean([model.classify(t)[2] for t in noise]) > 0.7
+    held = [r["text"] for r in docs.filter(queries.fold_of(4) == 2).collect()]
+    assert np.mean([model.classify(t)[2] for t in held if t and len(t) > 60]) < 0.01
 
 
 # ---------------------------------------------------------------- quality
@@ -165,6 +208,31 @@ def test_pages_are_matched_against_their_wrapper(spark):
     assert {r["page_id"]: r["text"] for r in out} == want
 
 
+def test_the_text_comes_from_the_wrapper(monkeypatch):
+    """A host without articles or telling classes: without its wrapper, varying text beside the article stays."""
+    page = "<html><body><div class='x1'>Offer {n} today</div><div class='x2'><h1>Head {n}</h1><p>{b}</p></div><div class='x3'>Made by us</div></body></html>"
+    pages = [page.format(n=i * 17, b=f"some words of page {i} " * (9 + i)) for i in range(2)]
+    for k in (2, 1):
+        read = wrappers.reading(wrappers.infer(pages[:k]), pages[:k])
+        got = [wrappers.extract(p, read) for p in pages]
+        want = [f"Head {i * 17}\n{(f'some words of page {i} ' * (9 + i)).strip()}" for i in range(2)]
+        assert (got == want) == (k == 2)
+    # alike but for a few words, both pages keep their text
+    pages = [page.format(n=i, b="some words " * 40) for i in range(2)]
+    read = wrappers.reading(wrappers.infer(pages), pages)
+    assert all(("some words " * 40).strip() in wrappers.extract(p, read) for p in pages)
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>"])
+def test_only_what_the_contract_names_leaves_an_article(wrap):
+    inside = '<h1>Head {n}</h1><div class="related-work">Related {n}</div><section id="search-methods"><p>Methods {n}</p></section><ul class="menu-items"><li>Dish {n}</li></ul><p>Let <math><mi>x{n}</mi></math> be</p>'
+    leaves = '<div class="cookie-notice">Biscuits</div><div id="user-comments"><p>Reader {n}</p></div><button>Press {n}</button><div class="adSlot">Buy {n}</div><nav>Up {n}</nav>'
+    pages = [f"<html><body>{wrap.format((inside + leaves).format(n=i))}</body></html>" for i in range(4)]
+    read = wrappers.reading(wrappers.infer(pages), pages)
+    for i, p in enumerate(pages):
+        assert wrappers.extract(p, read) == f"Head {i}\nRelated {i}\nMethods {i}\nDish {i}\nLet x{i} be"
+
+
 def test_whole_pages_are_aligned():
     """Long pages of a host without marked containers: what comes after their first 4,000 tokens is still known as template."""
     rng = random.Random(3)
