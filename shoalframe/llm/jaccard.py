@@ -154,7 +154,8 @@ def gathered(docs: DataFrame, parts: int) -> DataFrame:
                     nth = np.arange(len(which)) - (np.cumsum(carried[a:b]) - carried[a:b])[which]
                     rows.append((int(range_[a]), portion, owner.dtype.str[1:], _low(names[head[a:b]]).tobytes(), many[a:b].astype(np.uint32).tobytes(), owner[head[a:b][which] + nth].tobytes(), None))
                 rows = rows or [(portion % parts, portion, "u2", b"", b"", b"", None)]
-                rows[0] = (*rows[0][:6], manifest)
+                carrier = (portion * 0x9E3779B97F4A7C15 >> 40) % len(rows)  # another range for each portion
+                rows[carrier] = (*rows[carrier][:6], manifest)
                 del found, names, owner, head, order, range_, many, carried, manifest
                 yield pd.DataFrame(rows, columns=["part", "portion", "kind", "low", "many", "idx", "manifest"])
                 portion += 1
@@ -177,7 +178,7 @@ def gathered(docs: DataFrame, parts: int) -> DataFrame:
             m = len(r.low) // 7
             keep, own = often[at : at + m] > 1, many[at : at + m]
             idx = np.frombuffer(r.idx, r.kind)[np.repeat(keep, np.where(own > FEW, 0, own))]
-            if keep.any() or r.manifest:
+            if r.manifest or keep.any():
                 rows.append((r.portion, r.part, r.kind, _low(_names(r.low)[keep]).tobytes(), own[keep].tobytes(), idx.tobytes(), often[at : at + m][keep].tobytes(), r.manifest))
             at += m
         del names, many, often
@@ -291,15 +292,15 @@ def join_blocks(left: list[tuple[int, int, np.ndarray]], right: list[tuple[int,
     return out
 
 
-def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Numbers the blocks of each family in a partition, which is sorted by family: of at most BLOCK classes and about WEIGHT shingles."""
+def blocks(batches: Iterator[pd.DataFrame], most: int, heavy: int) -> Iterator[pd.DataFrame]:
+    """Numbers the blocks of each family in a partition, which is sorted by family: of at most `most` classes and about `heavy` shingles."""
     from pyspark import TaskContext
 
     part, last, block, size, weight = TaskContext.get().partitionId(), None, -1, 0, 0
     for batch in batches:
         out = []
         for family, n in zip(batch["family"].tolist(), batch["n"].tolist(), strict=True):
-            if family != last or size >= BLOCK or weight + n > WEIGHT:
+            if family != last or size >= most or weight + n > heavy:
                 block, size, weight = (block + 1 if family == last else 0), 0, 0
             last, size, weight = family, size + 1, weight + n
             out.append(block)
@@ -350,7 +351,8 @@ def links(classes: DataFrame) -> DataFrame:
     # classes: it is cut by ranges of that order, and no task sees more of it than its range.
     key = ["family", "n", *[F.col("c")[g] for g in range(4)], "id"]
     place = classes.select("id", "n", "c").join(family, "id").repartitionByRange(parts, *key).sortWithinPartitions(*key)
-    place = materialise(place.mapInPandas(blocks, "family long, id long, n long, c array<int>, part int, block long"), "points")
+    most, heavy = BLOCK, WEIGHT
+    place = materialise(place.mapInPandas(lambda batches: blocks(batches, most, heavy), "family long, id long, n long, c array<int>, part int, block long"), "points")
     high = F.array(*[F.max(F.col("c")[g]) for g in range(GROUPS)]).alias("top")
     boxes = place.groupBy("family", "part", "block").agg(F.min("n").alias("small"), F.max("n").alias("large"), F.sum("n").alias("weight"), high)
     boxes = materialise(boxes, "boxes")

@@ -5,7 +5,9 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from shoalframe.llm import components as components_module
 from shoalframe.llm import embeddings, jaccard, substrings
 from shoalframe.llm.components import components
 
@@ -72,6 +74,54 @@ def test_jaccard_of_one_large_group(spark):
     assert got == brute_jaccard(rows)
 
 
+def test_jaccard_of_names_that_many_share(spark, monkeypatch):
+    """Small portions, blocks and tasks; a passage that most documents have, in portions of many classes."""
+    monkeypatch.setattr(jaccard, "PORTION", 6000)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "WEIGHT", 400)
+    monkeypatch.setattr(jaccard, "LIGHT", 500)
+    rng = random.Random(8)
+    rows, passage = [], [f"p{i}" for i in range(25)]
+    for i in range(240):
+        own = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([3, 30]))]
+        rows.append((i, " ".join(passage + own if i % 3 else own)))
+    for i in range(240, 300):
+        t = rows[i - 240][1].split()
+        t[rng.randrange(len(t))] = "other"
+        rows.append((i, " ".join(t)))
+    got = {tuple(r) for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == brute_jaccard(rows)
+
+
+def test_names_that_agree_in_most_bits_are_told_apart(spark, monkeypatch):
+    """Names forced to differ in a few bits only, high or low: all of a name decides."""
+    real = jaccard.shingles
+    for low in (True, False):
+
+        def close(texts, size=5, low=low):
+            keep = np.uint64(0xFFFFF0000000FFFF if low else 0xFF0000000000FFFF)
+            return [np.unique(s & keep) for s in real(texts, size)]
+
+        monkeypatch.setattr(jaccard, "shingles", close)
+        rng = random.Random(2)
+        rows = [(i, " ".join(f"w{rng.randrange(60)}" for _ in range(40))) for i in range(60)]
+        rows += [(60 + i, rows[i][1] + " more words here") for i in range(20)]
+        names = {i: set(close([t])[0].tolist()) for i, t in rows}
+        root = closure(range(80), [(a, b) for a in names for b in names if a < b and 100 * len(names[a] & names[b]) >= 75 * len(names[a] | names[b])])
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        found = jaccard.gathered(docs, 1 << 10).filter("not doc").select(F.col("tokens")).collect()
+        known = set().union(*names.values())
+        assert found and all(set(np.frombuffer(r["tokens"], np.uint64).tolist()) <= known for r in found)
+        assert {(r["doc_id"], r["component_id"]) for r in jaccard.near_duplicates(docs).collect()} == set(root.items())
+
+
+def test_components_of_a_hub(spark, monkeypatch):
+    monkeypatch.setattr(components_module, "OFTEN", 3)
+    edges = [(5, i) for i in range(100, 180)] + [(i, i + 1000) for i in range(100, 180, 2)] + [(2, 1100), (7, 8), (9, 8), (8, 10)]
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long").repartition(9)).collect()}
+    assert got == closure({x for e in edges for x in e}, edges)
+
+
 def test_jaccard_edges(spark, nothing):
     assert jaccard.near_duplicates(nothing).count() == 0
     table = spark.createDataFrame([(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (9, "A B c\td e f"), (1, None), (2, None)], "doc_id long, text string")
