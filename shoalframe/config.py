@@ -66,6 +66,18 @@ class SegmentPostprocess(Section):
     min_area: int = 0
     n_threads: int = 0
     clear_border: bool = False
+    isotropic: bool = False
+
+
+def _plain(model: Any) -> Any:
+    """Models are Python functions that choose their device and precision themselves, and tasks run in parallel anyway."""
+    if model.device != "cpu":
+        raise ValueError("device: the model's factory chooses its device")
+    if model.autocast:
+        raise ValueError("autocast: the model's factory chooses its precision")
+    if model.n_threads > 1:
+        raise ValueError("n_threads: Spark runs a model in every task; set spark.task.cpus for more threads of each")
+    return model
 
 
 class ModelSegmentation(Section):
@@ -85,6 +97,10 @@ class ModelSegmentation(Section):
     background_color: int = 0
     keep_background: bool = True
 
+    @model_validator(mode="after")
+    def _kept(self) -> ModelSegmentation:
+        return _plain(self)
+
 
 class Segmentation(Section):
     threshold: Threshold | None = None
@@ -121,10 +137,16 @@ class Postprocess(Section):
 class Output(Section):
     target_dir: str
     skip_existing: bool = False
-    image_fn: str = "{object_id}.jpg"
+    image_fn: str = "{object_id}.png"
     store_mask: bool = False
     type_header: bool = True
 
+    @model_validator(mode="after")
+    def _png(self) -> Output:
+        if not self.image_fn.endswith(".png"):
+            raise ValueError("image_fn: images are written as PNG")
+        return self
+
 
 class SegmentTask(Section):
     input: SegmentInput
@@ -169,6 +191,10 @@ class Model(Section):
     meta: ModelMeta = ModelMeta()
     tiling: Tiling | Off = False
 
+    @model_validator(mode="after")
+    def _kept(self) -> Model:
+        return _plain(self)
+
 
 class PredictSegmentation(Section):
     draw: bool = False

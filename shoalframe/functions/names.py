@@ -18,11 +18,12 @@ INSTRUMENT = "LOKI"
 
 def parse_object_id(column: Column) -> Column:
     """date, time, ms (strings), seq, posx, posy (numbers); an unparsable id fails the query."""
-    part = lambda i: F.regexp_extract(column, OBJECT_ID, i)
-    parsed = F.struct(
-        part(1).alias("date"), part(2).alias("time"), part(3).alias("ms"),
-        part(4).try_cast("long").alias("seq"), part(5).try_cast("long").alias("posx"), part(6).try_cast("long").alias("posy"),
-    )
+    def fields(p: Column) -> Column:
+        numbers = [p[3 + i].try_cast("long").alias(n) for i, n in enumerate(("seq", "posx", "posy"))]
+        return F.struct(p[0].alias("date"), p[1].alias("time"), p[2].alias("ms"), *numbers)
+
+    # no part of a parsable id has a space; the one-element array keeps Catalyst from splitting once for every field
+    parsed = F.transform(F.array(F.split(column, " +")), fields)[0]
     return F.when(column.rlike(OBJECT_ID), parsed).when(column.isNotNull(), F.raise_error(F.concat(F.lit("can't parse object id: "), column)).cast("struct<date:string,time:string,ms:string,seq:bigint,posx:bigint,posy:bigint>"))
 
 

@@ -126,7 +126,8 @@ def label_objects(
     unpredicted nodes, constraints, the previous description again, no negations, description to label.
 
     objects: object_id, object_annotation_category, object_annotation_status and `scores`. forward: display_name,
-    description (space-separated names); backward: description, display_name. Validated rows keep what was known.
+    description (space-separated names); backward: description, display_name. Validated rows keep what was known. A column
+    `archive` of objects stays.
     """
     validated = F.col("object_annotation_status") == "validated"
     known = forward.select(F.col("display_name").alias("object_annotation_category"), F.split("description", " ").alias("_previous"))
@@ -141,4 +142,4 @@ def label_objects(
     t = t.withColumn("description", F.array_join(F.array_sort(positives(readd(F.col("_new"), F.col("_previous")))), " "))
     new = backward.select(F.array_join(F.array_sort(F.split("description", " ")), " ").alias("description"), F.col("display_name").alias("_label"))
     t = t.join(new, "description", "left")
-    return update_labels(t, "_label", skip_unchanged=skip_unchanged).select("object_id", "object_annotation_category", "object_annotation_status", "description")
+    return update_labels(t, "_label", skip_unchanged=skip_unchanged).select(*[c for c in ("archive",) if c in objects.columns], "object_id", "object_annotation_category", "object_annotation_status", "description")

@@ -5,9 +5,11 @@ from __future__ import annotations
 import io
 import re
 import struct
+import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -16,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names
+from . import jpeg
+from .jpeg import Unsupported
 from ..operators.metadata import SENSORS, last_by_path, not_ignored, rename_present, union_primary
 
 # A sample's folders, and the patterns of its files.
@@ -67,7 +71,7 @@ def _png(data: bytes) -> np.ndarray:
         at += 12 + n
     w, h, depth, color, _, _, interlaced = head
     if depth != 8 or interlaced:
-        raise ValueError("only plain 8-bit PNG is read")
+        raise Unsupported("only plain 8-bit PNG is read")
     c = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[color]
     raw = np.frombuffer(zlib.decompress(b"".join(idat)), np.uint8).reshape(h, 1 + w * c)
     out = np.zeros((h + 1, w * c + c), np.int32)
@@ -93,7 +97,7 @@ def _png(data: bytes) -> np.ndarray:
 def _bmp(data: bytes) -> np.ndarray:
     offset, w, h, bits = struct.unpack("<I", data[10:14])[0], *struct.unpack("<ii", data[18:26]), struct.unpack("<H", data[28:30])[0]
     if bits not in (8, 24) or struct.unpack("<I", data[30:34])[0]:
-        raise ValueError("only plain 8-bit and 24-bit BMP is read")
+        raise Unsupported("only plain 8-bit and 24-bit BMP is read")
     row = (w * bits + 31) // 32 * 4
     raw = np.frombuffer(data, np.uint8, row * abs(h), offset).reshape(abs(h), row)
     raw = raw[::-1] if h > 0 else raw
@@ -104,11 +108,13 @@ def _bmp(data: bytes) -> np.ndarray:
 
 
 def decode(data: bytes) -> np.ndarray:
-    """A grey image of a PNG or BMP file; anything else is an error."""
+    """A grey image of a JPEG, PNG or BMP file; anything else is an error, Unsupported for files that are only of a kind not read here."""
     if data[:8] == b"\x89PNG\r\n\x1a\n":
         image = _png(data)
     elif data[:2] == b"BM":
         image = _bmp(data)
+    elif data[:3] == b"\xff\xd8\xff":
+        image = jpeg.decode(data)
     else:
         raise ValueError("unknown image format")
     if image.shape[2] == 1:
@@ -126,8 +132,9 @@ def encode_png(image: np.ndarray) -> bytes:
 def read_images(table: DataFrame, content: str = "content") -> DataFrame:
     """table with height, width and pixels for its content; rows that can't be decoded have nulls.
 
-    Filter on `pixels is not null` to skip them, and count them with observed(). Filter rows before this, too: the
-    decoder only sees what is left.
+    Files that are damaged or no pictures have nulls: filter on `pixels is not null` to skip them, and count them with observed().
+    A picture of a kind that isn't read (progressive JPEG, 16-bit PNG) fails the query instead of getting lost. Filter rows before
+    this, too: the decoder only sees what is left.
     """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -137,6 +144,8 @@ def read_images(table: DataFrame, content: str = "content") -> DataFrame:
                 try:
                     image = decode(bytes(data))
                     rows.append((*image.shape, image.ravel().astype(int).tolist()))
+                except Unsupported:
+                    raise
                 except Exception:  # noqa: BLE001  whatever is wrong with this file, the others go on
                     rows.append((None, None, None))
             yield pd.DataFrame(rows, columns=["height", "width", "pixels"]).astype({"height": "Int64", "width": "Int64"})
@@ -272,15 +281,47 @@ def debug_images(frames: DataFrame, key: str, pixels: str, width: int, labels: s
     return frames.select(key, pixels, *[c for c in (labels, scores) if c]).mapInPandas(run, "name string, content binary")
 
 
-def save_files(built: DataFrame, target: str) -> None:
-    """Writes (name, content) rows into a folder that executors share, through Hadoop's file systems."""
-    spark = built.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    for row in built.toLocalIterator():  # one archive at a time passes through the driver
-        out = fs.create(path(target, row["name"]), True)
-        out.write(bytearray(row["content"]))
-        out.close()
+def save_files(built: DataFrame, target: str) -> list[str]:
+    """Writes (name, content) rows into a folder that executors share; the names of the files.
+
+    Executors write, each file under a name of its own first, so that a task that runs twice leaves whole files. Where pyarrow doesn't
+    know the folder's file system, the files pass through the driver one at a time, to Hadoop's.
+    """
+    from pyarrow import ArrowInvalid
+    from pyarrow.fs import FileSystem, FileType
+
+    def place() -> tuple[FileSystem, str]:
+        return FileSystem.from_uri(target if "://" in target or target.startswith("file:") else Path(target).resolve().as_uri())
+
+    try:
+        place()
+    except (ArrowInvalid, OSError):
+        spark = built.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+        written = []
+        for row in built.toLocalIterator():
+            out = fs.create(path(target, row["name"]), True)
+            out.write(bytearray(row["content"]))
+            out.close()
+            written.append(row["name"])
+        return written
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, root = place()
+        for batch in batches:
+            for name, content in zip(batch["name"], batch["content"], strict=True):
+                final = f"{root}/{name}"
+                part = f"{final}.{uuid.uuid4().hex}.part"
+                fs.create_dir(final.rpartition("/")[0], recursive=True)
+                with fs.open_output_stream(part) as out:
+                    out.write(bytes(content))
+                if fs.get_file_info(final).type == FileType.File:
+                    fs.delete_file(final)
+                fs.move(part, final)
+            yield batch[["name"]]
+
+    return [r["name"] for r in built.select("name", "content").mapInPandas(run, "name string").collect()]
 
 
 def save_scores(table: DataFrame, path: str, key: str = "object_id", scores: str = "predictions") -> None:
