@@ -20,7 +20,7 @@ from .hashing import mix, portions
 from .storage import long_rows
 
 #: Rows of the bounded sample: labelled, and unlabelled ones that come to the pool in each round.
-LABELLED, POOL = 5000, 2500
+LABELLED, POOL = 5000, 1500
 TRIGRAMS, SURFACE, META = 1024, 8, 256
 ROUNDS = 5
 #: Rows that each view passes on per round and class, as a share of the pool.
@@ -73,9 +73,9 @@ class Logistic:
     """Ridge logistic regression by Newton steps on standardised columns."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 8):
-        self.mean, self.sd = x.mean(0), x.std(0) + 1e-3
-        z = (x - self.mean) / self.sd
-        z = np.concatenate([z, np.ones((len(z), 1))], 1).astype(np.float64)
+        self.mean, self.sd = x.mean(0, dtype=np.float64), x.std(0, dtype=np.float64) + 1e-3
+        z = np.ones((len(x), x.shape[1] + 1))
+        np.divide(np.subtract(x, self.mean, out=z[:, :-1]), self.sd, out=z[:, :-1])
         self.w = np.zeros(z.shape[1])
         penalty = np.full(z.shape[1], ridge)
         penalty[-1] = 1e-3
@@ -146,14 +146,14 @@ def learn(docs: DataFrame, labels: DataFrame, train: object, columns: list[str],
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = np.concatenate([content(batch["text"].tolist()), metadata(batch, columns)], 1)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "x": [r.astype(np.float32).tobytes() for r in x]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "x": [r.astype(np.float16).tobytes() for r in x]})
 
     # of rows that share a doc_id one counts
     one = docs.select("doc_id", F.struct("text", *columns).alias("row")).join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y").agg(F.min("row").alias("row"))
     rows = one.select("doc_id", "y", "row.*").mapInPandas(features, "doc_id long, y int, x binary")
     rows = rows.toPandas().sort_values("doc_id", key=lambda s: mix(s.to_numpy(np.int64).astype(np.uint64)))
-    x = np.stack([np.frombuffer(r, np.float32) for r in rows["x"]]) if len(rows) else np.zeros((0, TRIGRAMS + SURFACE + META), np.float32)
-    y = rows["y"].to_numpy()
+    y, x = rows["y"].to_numpy(), np.frombuffer(b"".join(rows["x"]), np.float16).reshape(len(rows), -1 if len(rows) else TRIGRAMS + SURFACE + META)
+    del rows
     views = [x[:, : TRIGRAMS + SURFACE], x[:, TRIGRAMS + SURFACE :]]
     return CoTrained([v[y >= 0] for v in views], y[y >= 0], [v[y < 0] for v in views])
 
