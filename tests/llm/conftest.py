@@ -34,7 +34,7 @@ def rows():
 
 @pytest.fixture(scope="session")
 def docs(spark, rows):
-    """The corpus over several partitions, one row twice, with extra columns."""
+    """The corpus over several partitions, with two equal texts and extra columns; tests of their own have rows that repeat."""
     kind = f"doc_id long, text string, lang string, source string, {EXTRA}"
     full = [(*r, "x", 1, 2, 3, "r", 4, 5, 6, 0.5) for r in rows]
     return spark.createDataFrame(full, kind).repartition(5, "doc_id").cache()

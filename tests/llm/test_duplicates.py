@@ -217,3 +217,13 @@ def test_embeddings_against_all_pairs(spark, monkeypatch):
 
 def test_embeddings_empty(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_embeddings_of_awkward_rows(spark):
+    """vec_ids that repeat or are null, and columns with the operator's own names."""
+    v, w = [1.0, 2.0, 3.0], [3.0, -1.0, 0.5]
+    rows = [(5, v, 1), (5, v, 1), (9, v, 1), (None, v, 1), (None, None, None), (7, w, 1), (8, w, 2)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumns({c: F.lit("x") for c in ("id", "grp", "cls", "raw", "part", "block", "salt", "n", "component")})
+    got = sorted((r["vec_id"] if r["vec_id"] is not None else -1, r["n_links"], r["component_id"], r["kept"]) for r in embeddings.near_duplicates(table).collect())
+    assert got[:2] == [(-1, 0, None, None)] * 2
+    assert got[2:] == [(5, 2, 5, True), (5, 2, 5, True), (7, 0, 7, True), (8, 0, 8, True), (9, 2, 5, False)]

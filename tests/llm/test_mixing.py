@@ -68,3 +68,37 @@ def test_mix_keeps_all_rows_and_columns(docs, nothing, rows):
     assert sorted(map(str, out.collect())) == sorted(map(str, docs.collect()))
     assert mixing.mix(nothing).count() == 0
     assert mixing.schedule(docs.union(docs)).count() == 2 * len(rows)
+
+
+def test_rows_against_a_plain_placement(spark):
+    """Brute force: each source's rows laid end to end in the operator's order, blocks put into slots by plain runs round by round."""
+    size, sizes, weights = 300, {"a": 90, "b": 40, "c": 15}, {"a": 2, "b": 1, "c": 1}
+    out = mixing.schedule(table(spark, sizes), weights, block_chars=size, round_slots=4).collect()
+    rows = {s: sorted((r for r in out if r["source"] == s), key=lambda r: (r["block"], r["at"], len(r["row"]["text"]))) for s in sizes}
+    where, n_blocks = {}, {}
+    for s, mine in rows.items():
+        chars = sum(len(r["row"]["text"]) for r in mine)
+        n_blocks[s] = max(1, -(-chars // size))
+        starts = sorted((r["block"] * size + r["at"], len(r["row"]["text"])) for r in mine)
+        at = 0
+        for start, n in starts:  # gapless: each row begins where those before it end
+            assert start == at
+            at += n
+        where |= {(s, min(start // size, n_blocks[s] - 1)): None for start, _ in starts}
+    left, t, done, names = dict(n_blocks), 0, Counter(), sorted(sizes)
+    slots = {}
+    while any(left.values()):
+        counts = [min(weights[s], left[s]) for s in names]
+        live = [i for i, c in enumerate(counts) if c]
+        for i in edf([counts[i] for i in live]):
+            s = names[live[i]]
+            slots[s, done[s]] = t
+            done[s], left[s], t = done[s] + 1, left[s] - 1, t + 1
+    assert {(r["source"], r["block"]): r["slot"] for r in out} == {k: slots[k] for k in where}
+
+
+def test_awkward_rows(spark):
+    kind = "doc_id long, text string, source string, slot long, block string"
+    rows = [(1, "x" * 50, "a", 1, "b")] * 3 + [(None, "x" * 50, "a", 1, "b"), (None, None, None, None, None), (2, "", "", 0, "")]
+    out = mixing.mix(spark.createDataFrame(rows, kind), block_chars=60)
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, rows))

@@ -362,3 +362,51 @@ def jaccard_set(text):
 def test_stages_keep_the_columns(spark, docs):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns
+
+# ---------------------------------------------------------------- rows that repeat, nulls, clashing columns, nothing
+def test_awkward_rows_of_the_classifiers(spark, docs):
+    """doc_ids that repeat or are null, repeated labels and both labels of one doc_id: each row is scored once."""
+    rng = random.Random(6)
+    word = lambda bad: rng.choice(["scumbag", "idiot"] if bad else ["river", "stone"])
+    rows = [(i % 50, f"the {word(i % 2)} on a {word(i % 2)} {i}", "web" if i % 2 else None, 10) for i in range(100)]
+    rows += [(None, "the stone", "web", 1), (None, None, None, None), (3, "", "web", 0), (3, "", "web", 0)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").withColumn("score", F.lit(9)).withColumn("y", F.lit("a")).withColumn("n", F.lit("b")).withColumn("toxic", F.lit("c"))
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(50)] * 2 + [(4, 1, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    net = toxicity.learn(table, labels, F.lit(True))
+    out = toxicity.scores(table, net).collect()
+    assert len(out) == len(rows) and sum(r["doc_id"] is None for r in out) == 2 and all(0 <= r["score"] <= 1 for r in out)
+    model = quality.learn(table, labels, F.lit(True), ["source", "n_chars"])
+    out = quality.scores(table, model, ["source", "n_chars"]).collect()
+    assert len(out) == len(rows) and sum(r["doc_id"] == 3 for r in out) == 4 and all(0 <= r["score"] <= 1 for r in out)
+
+
+def test_scores_against_plain_scores(spark):
+    """Brute force: every document alone, and every window alone, by the same weights."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    net = toxicity.learn(docs, labels, queries.fold_of(5) != 0)
+    some = docs.orderBy("doc_id").limit(30)
+    got = {r["doc_id"]: r["score"] for r in toxicity.scores(some, net).collect()}
+    for r in some.collect():
+        t = toxicity.Texts([r["text"]])
+        rows = net.inputs(t)
+        worst = max((float(net.forward(t.at[i : i + 1], rows)[0][0]) for i in range(len(t.at))), default=None)
+        want = net.base if worst is None else 1 / (1 + np.exp(-(net.scale * worst + net.shift)))
+        assert got[r["doc_id"]] == pytest.approx(want, abs=1e-4)
+    columns = ["source", "lang", "n_chars"]
+    model = quality.learn(docs, labels, queries.fold_of(5) != 0, columns)
+    got = {r["doc_id"]: r["score"] for r in quality.scores(some, model, columns).collect()}
+    for r in some.toPandas().itertuples():
+        alone = pd.DataFrame([{c: getattr(r, c) for c in columns}])
+        assert got[r.doc_id] == pytest.approx(model.scores([quality.content([r.text]), quality.metadata(alone, columns)])[2][0], abs=1e-4)
+
+
+def test_pipeline_of_awkward_tables(spark, tmp_path):
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], kind).write.parquet(str(tmp_path / "none/documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    text = "the one of the others and the rest of them went over the river and into the woods again " * 3
+    rows = [(5, text, "en", "a", 9), (5, text, "en", "a", 9), (None, text + "once more", "en", None, 9), (None, None, None, None, None), (7, "der eine und die andere gingen über den fluss " * 4, "de", "b", 9)]
+    spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / "some/documents.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path / "some")).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in out) == [(False, 5), (False, 5), (False, 7), (True, 0)]
