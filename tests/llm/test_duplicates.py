@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,3 +228,26 @@ def test_embeddings_of_awkward_rows(spark):
     got = sorted((r["vec_id"] if r["vec_id"] is not None else -1, r["n_links"], r["component_id"], r["kept"]) for r in embeddings.near_duplicates(table).collect())
     assert got[:2] == [(-1, 0, None, None)] * 2
     assert got[2:] == [(5, 2, 5, True), (5, 2, 5, True), (7, 0, 7, True), (8, 0, 8, True), (9, 2, 5, False)]
+
+
+def test_embeddings_spanning_edges_of_a_dense_matrix():
+    rng = np.random.default_rng(3)
+    for share in (0.0, 0.01, 0.05, 0.3, 1.0):
+        near = rng.random((40, 30)) < share
+        a, b, edges = np.arange(100, 140), np.arange(500, 530), []
+        embeddings.span(near, a, b, embeddings.Forest(), edges)
+        ids = [*a.tolist(), *b.tolist()]
+        links = [(int(a[i]), int(b[j])) for i, j in zip(*np.nonzero(near))]
+        assert closure(ids, edges) == closure(ids, links)
+        assert len(edges) == len(ids) - len(set(closure(ids, links).values()))
+
+
+def test_embeddings_blocks_over_batches():
+    """Blocks are cut by group and size, wherever a batch ends; none is lost or mixed."""
+    groups = ["a/2"] * 150 + ["b/2"] * 64 + ["c/3"]
+    rows = pd.DataFrame({"id": range(215), "copies": 1, "grp": groups, "raw": [np.arange(int(g[-1]), dtype=float).tobytes() for g in groups]})
+    rows = rows.assign(**{c: rows["id"] * 0.5 for c in embeddings.Y})
+    for step in (1, 7, 150, 215):
+        out = pd.concat(embeddings.blocks((rows.iloc[i : i + step] for i in range(0, 215, step)), 4, 64)).to_dict("records")
+        assert [(r["grp"], r["part"], r["block"], len(r["ids"]) // 8) for r in out] == [("a/2", 4, 0, 64), ("a/2", 4, 1, 64), ("a/2", 4, 2, 22), ("b/2", 4, 0, 64), ("c/3", 4, 0, 1)]
+        assert np.concatenate([embeddings.Side(r).ids for r in out]).tolist() == list(range(215))
