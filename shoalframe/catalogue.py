@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fixtures import ctes, table, view
-from .functions import arrays, geometry, names
+from .functions import arrays, geometry, kernels, names
 from .operators import duplicates, joins, metadata, segments, taxonomy
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -447,6 +447,13 @@ def label_update_skip_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxonomy.update_labels(o, "new").drop("new")
 
 
+@query("SELECT p_partkey AS object_id, array_to_string(list_sort(list_distinct(list_concat(string_split(p_type, ' '), string_split(p_name, ' ')))), ' ') AS description FROM part")
+def readd_previous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = F.split("p_type", " ")
+    both = taxonomy.readd(new, F.split("p_name", " "))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("object_id"), F.array_join(F.array_sort(both), " ").alias("description"))
+
+
 # ---------------------------------------------------------------- segments
 _COMPONENTS = """, px AS (SELECT object_id, unnest(pixels) AS v, unnest(range(0, 64)) AS i FROM images),
 on_ AS (SELECT object_id, i, i // 8 AS y, i % 8 AS x, v FROM px WHERE v > 150),
@@ -481,15 +488,82 @@ def largest_component(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.groupBy("object_id").agg(F.max_by("component", F.struct("size", -F.col("component"))).alias("component"), F.max("size").alias("size"))
 
 
+_VARY = "avg(power(c.{0} - b.c{0}, 2)) + 1 / 12.0"
+
+
 @query(
     _RECURSIVE
-    + ", b AS (SELECT object_id, component, CAST(min(i // 8) AS INT) AS min_row, CAST(min(i % 8) AS INT) AS min_col, CAST(max(i // 8) + 1 AS INT) AS max_row, CAST(max(i % 8) + 1 AS INT) AS max_col, count(*) AS area FROM comp GROUP BY 1, 2) "
-    "SELECT object_id, CAST(row_number() OVER (PARTITION BY object_id ORDER BY component) AS INT) AS label, area, min_row, min_col, max_row, max_col, CAST(v.lo AS DOUBLE) AS min, CAST(v.hi AS DOUBLE) AS max FROM b "
-    "JOIN (SELECT c.object_id, c.component, min(o.v) AS lo, max(o.v) AS hi FROM comp c JOIN on_ o ON o.object_id = c.object_id AND o.i = c.i GROUP BY 1, 2) v USING (object_id, component)"
+    + ", b AS (SELECT object_id, component, CAST(min(i // 8) AS INT) AS min_row, CAST(min(i % 8) AS INT) AS min_col, CAST(max(i // 8) + 1 AS INT) AS max_row, CAST(max(i % 8) + 1 AS INT) AS max_col, count(*) AS area, avg(i // 8) AS cy, avg(i % 8) AS cx FROM comp GROUP BY 1, 2), "
+    "c AS (SELECT comp.object_id, component, o.y, o.x, o.v FROM comp JOIN on_ o ON o.object_id = comp.object_id AND o.i = comp.i), "
+    f"m AS (SELECT c.object_id, c.component, {_VARY.format('y')} AS yy, {_VARY.format('x')} AS xx, avg((c.y - b.cy) * (c.x - b.cx)) AS xy, min(v) AS lo, max(v) AS hi, avg(v) AS mid, stddev_pop(v) AS dev FROM c JOIN b ON b.object_id = c.object_id AND b.component = c.component GROUP BY 1, 2) "
+    "SELECT object_id, CAST(row_number() OVER (PARTITION BY object_id ORDER BY component) AS INT) AS label, area, min_row, min_col, max_row, max_col, round(cy, 6) AS centroid_row, round(cx, 6) AS centroid_col, "
+    "round(sqrt(8 * (yy + xx + sqrt(4 * xy * xy + (yy - xx) * (yy - xx)))), 6) AS major_axis, round(sqrt(8 * greatest(0, yy + xx - sqrt(4 * xy * xy + (yy - xx) * (yy - xx)))), 6) AS minor_axis, "
+    "round(mid, 6) AS mean, round(dev, 6) AS std, CAST(lo AS DOUBLE) AS min, CAST(hi AS DOUBLE) AS max FROM b JOIN m USING (object_id, component)"
 )
 def region_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = segments.segment(view(spark, sf_dir, "images"), "object_id", "pixels", 8, 150)
-    return found.select("object_id", "label", "area", "min_row", "min_col", "max_row", "max_col", "min", "max")
+    measured = [F.round(c, 6).alias(c) for c in ("centroid_row", "centroid_col", "major_axis", "minor_axis", "mean", "std")]
+    return found.select("object_id", "label", "area", "min_row", "min_col", "max_row", "max_col", *measured, "min", "max")
+
+
+_MASK = ctes("images") + ", px AS (SELECT object_id, unnest(pixels) AS v, unnest(range(0, 64)) AS i FROM images), m0 AS (SELECT object_id, i // 8 AS y, i % 8 AS x, v > {threshold} AS hit FROM px)"
+_FAR = "(a.y - b.y) * (a.y - b.y) + (a.x - b.x) * (a.x - b.x)"
+_ON = " SELECT object_id, CAST(y * 8 + x AS INT) AS pos FROM {last} WHERE hit"
+
+
+def _morphology(threshold: int, *steps: tuple[str, str]) -> str:
+    """SQL of steps over masks: of each pixel, `and` or `or` over those whose squared distance meets the condition."""
+    made = [
+        f", m{n} AS (SELECT a.object_id, a.y, a.x, bool_{how}(b.hit) AS hit FROM m{n - 1} a JOIN m{n - 1} b ON a.object_id = b.object_id AND {_FAR} {near} GROUP BY 1, 2, 3)"
+        for n, (how, near) in enumerate(steps, 1)
+    ]
+    return _MASK.format(threshold=threshold) + "".join(made) + _ON.format(last=f"m{len(steps)}")
+
+
+def _masked(spark: SparkSession, sf_dir: str, threshold: int, step: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """object_id and place of each pixel of the masks that the step makes."""
+    out = segments.map_masks(view(spark, sf_dir, "images"), "object_id", "pixels", 8, threshold, step)
+    return out.select("object_id", F.posexplode("mask").alias("pos", "hit")).filter("hit").select("object_id", "pos")
+
+
+@query(_morphology(110, ("and", "<= 1"), ("or", "<= 1")))
+def opening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _masked(spark, sf_dir, 110, lambda m: kernels.opening(m, 1))
+
+
+@query(_morphology(140, ("or", "<= 4"), ("and", "<= 4")))
+def closing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _masked(spark, sf_dir, 140, lambda m: kernels.closing(m, 2))
+
+
+@query(_morphology(110, ("and", "<= 1"), ("or", "< 1.96")))
+def isotropic_opening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _masked(spark, sf_dir, 110, lambda m: kernels.isotropic_dilate(kernels.isotropic_erode(m, 1), 1.4))
+
+
+@query(_morphology(140, ("or", "< 4"), ("and", "<= 4")))
+def isotropic_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _masked(spark, sf_dir, 140, lambda m: kernels.isotropic_closing(m, 2))
+
+
+@query(
+    _MASK.format(threshold=110)
+    + f", d AS (SELECT a.object_id, a.y, a.x, min({_FAR}) AS far FROM m0 a JOIN m0 b ON a.object_id = b.object_id WHERE NOT b.hit GROUP BY 1, 2, 3) "
+    "SELECT object_id, CAST(y * 8 + x AS INT) AS pos, sqrt(far) AS distance FROM d"
+)
+def distance_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = segments.map_masks(view(spark, sf_dir, "images"), "object_id", "pixels", 8, 110, kernels.distance, "distance", "double")
+    return out.select("object_id", F.posexplode("distance").alias("pos", "distance")).filter("distance is not null")
+
+
+@query(
+    _MASK.format(threshold=120).replace("WITH ", "WITH RECURSIVE ", 1)
+    + ", outside AS (SELECT object_id, y, x FROM m0 WHERE NOT hit AND (y IN (0, 7) OR x IN (0, 7)) UNION "
+    "SELECT b.object_id, b.y, b.x FROM outside a JOIN m0 b ON a.object_id = b.object_id AND abs(a.y - b.y) + abs(a.x - b.x) = 1 WHERE NOT b.hit), "
+    "filled AS (SELECT m0.object_id, m0.y, m0.x, o.object_id IS NULL AS hit FROM m0 LEFT JOIN outside o ON o.object_id = m0.object_id AND o.y = m0.y AND o.x = m0.x)" + _ON.format(last="filled")
+)
+def fill_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _masked(spark, sf_dir, 120, kernels.fill_holes)
 
 
 @query()

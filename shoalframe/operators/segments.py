@@ -90,6 +90,18 @@ def cut_regions(images: DataFrame, key: str, pixels: str, width: int, threshold:
     return images.select(key, pixels).mapInPandas(run, f"{key} {kind}, {REGION}, row int, col int, width int, roi array<int>, roi_mask array<boolean>")
 
 
+def map_masks(images: DataFrame, key: str, pixels: str, width: int, threshold: float, step: Callable[[np.ndarray], np.ndarray], value: str = "mask", kind: str = "boolean") -> DataFrame:
+    """key, value: what the step makes of the mask of pixels over the threshold, in reading order; infinite numbers become null."""
+    of = images.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [step(image > threshold).ravel() for image in _grids(batch[pixels], width)]
+            yield pd.DataFrame({key: batch[key], value: [[v if np.isfinite(v) else None for v in f.tolist()] for f in found]})
+
+    return images.select(key, pixels).mapInPandas(run, f"{key} {of}, {value} array<{kind}>")
+
+
 def component_sizes(images: DataFrame, key: str, pixels: str, width: int, threshold: float, post: PostProcess = PostProcess()) -> DataFrame:
     """key, component (its first pixel), size."""
     kind = images.schema[key].dataType.simpleString()
