@@ -20,6 +20,8 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -63,6 +65,27 @@ def _steps(part: dict | None) -> list[str]:
     return [p.get("pattern", {}).get("Regex") or p["type"] for p in parts]
 
 
+@lru_cache(1)
+def _loaded(path: str) -> tuple:
+    """The tokenizer of a file, its model over split words, which ids end a word, special tokens, and whether WordTokenizer knows its kind.
+    A worker reads a file once."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    full = Tokenizer.from_file(path)
+    kind = json.loads(Path(path).read_text())
+    model = kind["model"]
+    fast = all(_steps(kind.get(k)) == v for k, v in _KNOWN.items()) and model["type"] == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout")
+    words = Tokenizer(full.model)
+    words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    ends = np.zeros(max(model["vocab"].values()) + 1, bool)
+    ends[[i for t, i in model["vocab"].items() if t.endswith("</w>")]] = True
+    return full, words, ends, [t["content"] for t in kind["added_tokens"]], fast
+
+
+def _slices(raw: bytes, starts: list[int], stops: list[int]) -> Iterator[bytes]:
+    return map(raw.__getitem__, map(slice, starts, stops))
+
+
 class WordTokenizer:
     """Ids of whole texts by a tokenizer whose pre-tokens never span white space; words are looked up once and remembered.
 
@@ -70,19 +93,8 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str, cache: int = CACHE):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.full = Tokenizer.from_file(path)
-        kind = json.loads(Path(path).read_text())
-        model = kind["model"]
-        self.fast = all(_steps(kind.get(k)) == v for k, v in _KNOWN.items()) and model["type"] == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout")
-        self.model = Tokenizer(self.full.model)
-        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        vocab = model["vocab"]
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.full, self.model, self.ends, self.special, self.fast = _loaded(path)
         self.table = _byte_chars() | {32: 32}
-        self.special = [t["content"] for t in kind["added_tokens"]]
         self.cache, self.most = {"\n": _STOP}, cache
 
     def _pieces(self, new: list[str]) -> None:
@@ -94,9 +106,7 @@ class WordTokenizer:
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(new):
             raise ValueError("the tokenizer's pieces don't end where words do")
-        raw, at = ids.tobytes(), 0
-        for p, stop in zip(new, (stops * 4).tolist(), strict=True):
-            self.cache[p], at = raw[at:stop], stop
+        self.cache.update(zip(new, _slices(ids.tobytes(), [0, *(4 * stops[:-1]).tolist()], (4 * stops).tolist()), strict=True))
 
     def _learn(self, words: list[str]) -> None:
         """Remembers words, all of them as one text of a word per line."""
@@ -110,6 +120,9 @@ class WordTokenizer:
                 else:
                     known[w] = np.array(self.full.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
             words = plain
+        letters = [w.islower() and w.isalpha() for w in words]  # pieces themselves
+        self._pieces([w for w, p in zip(words, letters, strict=True) if p])
+        words = [w for w, p in zip(words, letters, strict=True) if not p]
         ascii_, other = [w for w in words if w.isascii()], [w for w in words if not w.isascii()]
         for part, pattern in ((ascii_, _ASCII), (other, _PIECE)):
             if not part:
@@ -118,7 +131,7 @@ class WordTokenizer:
             self._pieces([p for p in dict.fromkeys(pieces) if p not in known])
             raw = b"".join(map(known.__getitem__, pieces))
             stops = 4 * np.flatnonzero(np.frombuffer(raw, "<u4") == 0xFFFFFFFF)
-            known.update((w, raw[a:b]) for w, a, b in zip(part, [0, *(stops + 4).tolist()], [*stops.tolist(), len(raw)], strict=True))
+            known.update(zip(part, _slices(raw, [0, *(stops + 4).tolist()], [*stops.tolist(), len(raw)]), strict=True))
 
     def encode(self, texts: list[str | None], chars: int = 2_000_000) -> Iterator[np.ndarray]:
         """Ids of each text, in order; new words are learnt together for about `chars` characters."""
@@ -133,21 +146,26 @@ class WordTokenizer:
 
     def _together(self, texts: list[str]) -> Iterator[np.ndarray]:
         odd = [not self.fast or any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]  # white space to Python, not to the tokenizer
-        words = [[] if o else t.split() for t, o in zip(texts, odd, strict=True)]
+        words = [[] if o else self._folded(t).split() for t, o in zip(texts, odd, strict=True)]
         if len(self.cache) > self.most:
             self.cache = {"\n": _STOP}
-        found = [list(map(self.cache.get, w)) for w in words]
-        missing = dict.fromkeys(w for some, ids in zip(words, found, strict=True) if None in ids for w, raw in zip(some, ids, strict=True) if raw is None)
+        # The group's own words are few enough to stay near the processor; those of all groups are looked up once a group.
+        own = dict.fromkeys(chain.from_iterable(words))
+        found = list(map(self.cache.get, own))
+        missing = [w for w, raw in zip(own, found, strict=True) if raw is None]
+        own = dict(zip(own, found, strict=True))
         if missing:
-            self._learn(list(missing))
-        known = self.cache
-        for t, o, some, ids in zip(texts, odd, words, found, strict=True):
+            self._learn(missing)
+            own.update(zip(missing, map(self.cache.__getitem__, missing), strict=True))
+        for t, o, some in zip(texts, odd, words, strict=True):
             if o:
                 yield np.array(self.full.encode(t, add_special_tokens=False).ids, "<u4")
             else:
-                if None in ids:
-                    ids = [known[w] if raw is None else raw for w, raw in zip(some, ids, strict=True)]
-                yield np.frombuffer(b"".join(ids), "<u4")
+                yield np.frombuffer(b"".join(map(own.__getitem__, some)), "<u4")
+
+    def _folded(self, text: str) -> str:
+        """ASCII in lower case, which its ids don't depend on, unless it has a special token."""
+        return text.lower() if text.isascii() and not any(s in text for s in self.special) else text
 
 
 def cuts(n: int, capacity: int = CAPACITY, slack: int = SLACK) -> list[int]:

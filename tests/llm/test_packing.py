@@ -47,6 +47,18 @@ def test_any_text_is_encoded_as_the_library_does(texts):
     assert [g.tolist() for g in tok.encode(texts, chars=10)] == [tok.full.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_a_word_is_learnt_once_in_any_case_and_the_file_is_read_once():
+    tok = packing.WordTokenizer(tokenizer_path())
+    learn, learnt = tok._learn, []
+    tok._learn = lambda words: (learnt.extend(words), learn(words))
+    texts = ["The stone, THE STONE", "the Stone, tHE sTONE", "<|endoftext|> The", "Élan élan The"]
+    for chars in (10, 1000):
+        got = [g.tolist() for g in tok.encode(texts, chars=chars)]
+        assert got == [tok.full.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(learnt) == sorted(["the", "stone,", "stone", "<|endoftext|>", "The", "Élan", "élan"])
+    assert packing.WordTokenizer(tokenizer_path()).full is tok.full
+
+
 def check(out, texts):
     from tokenizers import Tokenizer
 
